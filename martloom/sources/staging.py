@@ -1,0 +1,14 @@
+"""Staging tables: flat parquet, one folder or file per table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+def read_table(
+    spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """One table; with a schema given, no file needs to be opened to plan."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}")
