@@ -80,7 +80,11 @@ def without_keys(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> Da
 
 
 def replace_by_key(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delete the target rows whose key is in the delta, add the delta."""
+    """Delete the target rows whose key is in the delta, add the delta.
+
+    The delta is read twice, its keys and its rows: give it as a written table.  Its
+    size is then known too, and a small one is broadcast instead of shuffling the mart.
+    """
     return without_keys(target, delta, keys).unionByName(delta.select(*target.columns))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from martloom.functions.gtin import CheckDigitFix, add_check_digit, with_gtin
 from martloom.functions.keys import hash_key
@@ -24,6 +24,13 @@ from martloom.operators.load_window import (
 )
 from martloom.operators.lookup import calendar_days, left_lookup
 from martloom.operators.merge import update_insert
+from martloom.session import write_stage
+from martloom.sources.mart import (
+    in_partitions,
+    listed_partitions,
+    publish_partitions,
+    read_partitioned,
+)
 
 # The mart's layout, its key, and what a match updates.
 MART_SCHEMA = """
@@ -168,3 +175,43 @@ def load_fulfilment(
     return update_insert(
         target, delta, KEYS, UPDATED, as_of, created="kortex_cre_ts", updated="kortex_updt_ts"
     )
+
+
+def run_fulfilment(
+    spark: SparkSession,
+    mart_path: str,
+    staging: DataFrame,
+    distribution_centres: DataFrame,
+    items: DataFrame,
+    calendar: DataFrame,
+    from_dt: datetime,
+    to_dt: datetime,
+    as_of: datetime,
+    fix: CheckDigitFix = add_check_digit,
+) -> Observation:
+    """Load one window into a mart stored by order date.
+
+    The order date is part of the key, so only the dates in the delta are read and
+    written again; the rest of the mart is not touched.
+    """
+    target = read_partitioned(spark, mart_path, MART_SCHEMA)
+    start = from_dt
+    if from_dt == UNSET_START:
+        start = start_of(global_high_water(target, "kortex_upld_ts"))
+    delta = write_stage(
+        fulfilment_delta(
+            staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
+        ),
+        "fulfilment-delta",
+    )
+    touched = listed_partitions(delta, "po_cre_dt")
+    merged = update_insert(
+        in_partitions(target, "po_cre_dt", touched),
+        delta,
+        KEYS,
+        UPDATED,
+        as_of,
+        created="kortex_cre_ts",
+        updated="kortex_updt_ts",
+    )
+    return publish_partitions(merged, mart_path, "po_cre_dt")

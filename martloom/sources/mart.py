@@ -11,8 +11,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from martloom.session import write_stage
-
 # Marker that Spark's committer leaves in a completely written folder.
 COMPLETE = "_SUCCESS"
 SNAPSHOT = "snapshot-{:08d}"
@@ -86,10 +84,10 @@ def in_partitions(df: DataFrame, column: str, values: list[date | None] | None)
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A mart that is stored by partitions; empty if nothing was published yet."""
+    empty = spark.createDataFrame([], schema)
     files, folder = _file_system(spark, path)
     if not files.exists(folder):
-        return spark.createDataFrame([], schema)
-    empty = spark.createDataFrame([], schema)
+        return empty
     return spark.read.schema(empty.schema).parquet(path).select(*empty.columns)
 
 
@@ -108,9 +106,9 @@ def publish_partitions(
     metrics = [F.count(F.lit(1)).alias("rows")]
     if emptied is not None:
         metrics.append(F.collect_set(F.col(column).cast("string")).alias("partitions"))
-    watched = df.observe(observation, *metrics)
-    # One partition's rows may be many: hash on the row as well, so that a hot
-    # partition value is written by several tasks, each opening few files.
+    # Rebalanced by partition value: small partitions end up in one file each, and a
+    # partition that holds much of the mart is cut into several tasks.
+    watched = df.observe(observation, *metrics).hint("rebalance", F.col(column))
     watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         column
     ).parquet(path)
@@ -123,7 +121,3 @@ def publish_partitions(
                 files.delete(path_of(f"{path}/{column}={value}"), True)
     return observation
 
-
-def staged_delta(delta: DataFrame, label: str) -> DataFrame:
-    """The delta, computed once and written to the shared folder, for repeated use."""
-    return write_stage(delta, label)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.dedup import latest_value, latest_wins, priority_pick
 from martloom.plans.pos_market import canonical_markets
-from registry import register, table
+from registry import register, spread_table, table
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -24,7 +24,7 @@ LINE_KEYS = ["l_orderkey", "l_linenumber"]
       FROM staged) WHERE rn = 1""",
 )
 def latest_lines(spark, folder):
-    staged = table(spark, folder, "lineitem").withColumns(
+    staged = spread_table(spark, folder, "lineitem").withColumns(
         {
             "l_shipdate": F.when(F.col("l_partkey") % 50 != 0, F.col("l_shipdate")),
             "l_linenumber": F.when(F.col("l_suppkey") % 50 != 0, F.col("l_linenumber")),

@@ -12,9 +12,9 @@ from martloom.operators.merge import (
     replace_window,
     update_insert,
 )
-from martloom.session import scratch_folder
+from martloom.session import scratch_folder, write_stage
 from martloom.sources.mart import publish_snapshot, read_snapshot
-from registry import register, table
+from registry import register, spread_table, table
 
 KEYS = ["l_orderkey", "l_linenumber"]
 FIRST_RUN = datetime(2024, 1, 1)
@@ -41,7 +41,7 @@ SPLIT_SQL = """
 
 
 def _split(spark, folder):
-    staged = table(spark, folder, "lineitem").withColumn(
+    staged = spread_table(spark, folder, "lineitem").withColumn(
         "l_linenumber", F.when(F.col("l_partkey") % 101 != 0, F.col("l_linenumber"))
     )
 
@@ -104,7 +104,8 @@ def upsert(spark, folder):
     UNION ALL SELECT * FROM delta""",
 )
 def key_replace(spark, folder):
-    return replace_by_key(*_split(spark, folder), KEYS)
+    target, delta = _split(spark, folder)
+    return replace_by_key(target, write_stage(delta, "delta"), KEYS)
 
 
 @register(
@@ -126,7 +127,7 @@ def window_replace(spark, folder):
         "l_shipdate", F.when(F.col("l_suppkey") % 20 != 0, F.col("l_shipdate"))
     )
     return replace_window(
-        timed, delta, KEYS, "l_shipdate", datetime(1997, 3, 1), datetime(1998, 2, 1)
+        timed, write_stage(delta, "delta"), KEYS, "l_shipdate", datetime(1997, 3, 1), datetime(1998, 2, 1)
     )
 
 
