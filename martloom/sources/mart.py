@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 # Marker that Spark's committer leaves in a completely written folder.
 COMPLETE = "_SUCCESS"
 SNAPSHOT = "snapshot-{:08d}"
+# Name that Spark gives the folder of rows whose partition value is NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # More distinct partitions than this are not listed on the driver: the whole mart
 # is rewritten instead.
 LISTED_PARTITIONS = 20000
@@ -65,6 +67,10 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
     return path
 
 
+def _partition_name(value: date | None) -> str:
+    return NULL_PARTITION if value is None else str(value)
+
+
 def _is_one_of(column: str, values: list[date | None]) -> Column:
     present = [v for v in values if v is not None]
     hit = F.col(column).isin(present) if present else F.lit(False)
@@ -92,32 +98,38 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -
 
 
 def publish_partitions(
-    df: DataFrame, path: str, column: str, emptied: list[date | None] | None = None
+    df: DataFrame,
+    path: str,
+    column: str,
+    touched: list[date | None] | None = None,
+    may_empty: bool = False,
 ) -> Observation:
     """Replace the partitions that ``df`` has rows for, and keep all others.
 
     Tasks write to a hidden folder that the committer moves into place at the end
-    of the job, so ``df`` may read the same mart.  ``emptied`` names partitions
-    the run touched: those without a row left are removed after the commit.
-    Returns the observed counts.
+    of the job, so ``df`` may read the same mart.  With ``may_empty``, touched
+    partitions (all, if they are not listed) that have no row left are removed after
+    the commit.  Returns the observed counts.
     """
     spark = df.sparkSession
     observation = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
-    if emptied is not None:
-        metrics.append(F.collect_set(F.col(column).cast("string")).alias("partitions"))
+    if may_empty:
+        name = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
+        metrics.append(F.collect_set(name).alias("partitions"))
     # Rebalanced by partition value: small partitions end up in one file each, and a
     # partition that holds much of the mart is cut into several tasks.
     watched = df.observe(observation, *metrics).hint("rebalance", F.col(column))
     watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         column
     ).parquet(path)
-    if emptied is not None:
-        left = set(observation.get["partitions"])
-        files, _ = _file_system(spark, path)
-        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for value in emptied:
-            if value is not None and str(value) not in left:
-                files.delete(path_of(f"{path}/{column}={value}"), True)
+    if may_empty:
+        filled = set(observation.get["partitions"])
+        looked_at = None if touched is None else {_partition_name(v) for v in touched}
+        files, folder = _file_system(spark, path)
+        for status in files.listStatus(folder):
+            value = status.getPath().getName().removeprefix(f"{column}=")
+            is_partition = value != status.getPath().getName()
+            if is_partition and value not in filled and (looked_at is None or value in looked_at):
+                files.delete(status.getPath(), True)
     return observation
-

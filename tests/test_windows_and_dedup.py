@@ -1,0 +1,104 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.operators.dedup import earliest_all, latest_value, latest_wins, priority_pick
+from martloom.operators.load_window import (
+    check_window,
+    global_high_water,
+    in_closed_window,
+    in_half_open_window,
+    lookback_high_water,
+    slowest_source_high_water,
+    start_of,
+    window_has_rows,
+)
+
+T = [datetime(2024, 1, d) for d in range(1, 11)]
+
+
+def stamps(spark, rows):
+    return spark.createDataFrame(rows, "src string, ts timestamp_ntz")
+
+
+def test_windows_at_their_bounds(spark):
+    df = stamps(spark, [("a", T[0]), ("b", T[1]), ("c", T[2]), ("d", None)])
+    closed = in_closed_window(df, "ts", T[0], T[2])
+    half = in_half_open_window(df, "ts", T[0], T[2])
+    assert {r.src for r in closed.collect()} == {"a", "b", "c"}
+    assert {r.src for r in half.collect()} == {"b", "c"}
+    assert window_has_rows(half)
+    assert not window_has_rows(in_half_open_window(df, "ts", T[5], T[6]))
+    with pytest.raises(ValueError, match="after its end"):
+        check_window(T[1], T[0])
+
+
+def test_high_water_marks(spark):
+    df = stamps(spark, [("a", T[8]), ("a", T[2]), ("b", T[4])])
+    none = df.filter("false")
+    assert start_of(global_high_water(df, "ts")) == T[8]
+    assert start_of(slowest_source_high_water(df, "src", "ts")) == T[4]
+    assert start_of(lookback_high_water(df, "ts")) == T[1]
+    assert start_of(global_high_water(none, "ts")) == datetime(1900, 1, 1)
+    assert start_of(slowest_source_high_water(none, "src", "ts")) == datetime(1900, 1, 1)
+    assert start_of(lookback_high_water(none, "ts")) == datetime(1990, 1, 1)
+
+
+def test_latest_wins(spark):
+    rows = [
+        ("a", 1, T[0], "old"),
+        ("a", 1, T[1], "new"),
+        ("a", 2, T[3], "tie x"),
+        ("a", 2, T[3], "tie a"),
+        ("b", 1, T[9], "late"),
+        ("b", 1, None, "no time"),
+        (None, 1, T[0], "null key old"),
+        (None, 1, T[1], "null key new"),
+    ]
+    df = spark.createDataFrame(rows, "k string, n int, ts timestamp_ntz, v string")
+    expected = {"new", "tie a", "no time", "null key new"}
+    for parts in (1, 7):
+        got = latest_wins(df.repartition(parts), ["k", "n"], "ts").collect()
+        assert {r.v for r in got} == expected and len(got) == 4
+
+
+def test_latest_wins_limits_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
+    plan = latest_wins(df, ["k"], "ts")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_latest_value(spark):
+    rows = [("a", "x", T[0]), ("a", "y", T[1]), ("b", "p", T[2]), ("b", "q", T[2]), ("c", "n", None)]
+    df = spark.createDataFrame(rows, "k string, v string, ts timestamp_ntz")
+    got = {r.k: r.v for r in latest_value(df, "k", "v", "ts").collect()}
+    assert got == {"a": "y", "b": "q", "c": "n"}
+
+
+def test_priority_pick(spark):
+    def arm(*rows):
+        return spark.createDataFrame(list(rows), "k string, v string")
+
+    arms = [
+        arm(("one", "1b"), ("one", "1a")),
+        arm(("one", "2"), ("two", "2")),
+        arm(("two", "3"), ("three", None), ("three", "3")),
+        arm(("three", "4"), ("four", None), (None, "n")),
+    ]
+    got = {r.k: r.v for r in priority_pick(arms, "k", "v").collect()}
+    assert got == {"one": "1a", "two": "2", "three": "3", "four": None, None: "n"}
+
+
+def test_earliest_all(spark):
+    rows = [
+        ("a", 1, "0", "first"),
+        ("a", 1, "0", "first"),
+        ("a", 1, "0", "same change"),
+        ("a", 1, "1", "later change"),
+        ("a", 2, "0", "later time"),
+        (None, 1, "0", "null key"),
+    ]
+    df = spark.createDataFrame(rows, "k string, t int, c string, v string")
+    got = sorted(r.v for r in earliest_all(df, ["k"], ["t", "c"]).collect())
+    assert got == ["first", "same change"]
