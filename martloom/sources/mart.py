@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from martloom.operators.merge import counted
+
 # Marker that Spark's committer leaves in a completely written folder.
 COMPLETE = "_SUCCESS"
 SNAPSHOT = "snapshot-{:08d}"
@@ -67,10 +69,6 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
     return path
 
 
-def _partition_name(value: date | None) -> str:
-    return NULL_PARTITION if value is None else str(value)
-
-
 def _is_one_of(column: str, values: list[date | None]) -> Column:
     present = [v for v in values if v is not None]
     hit = F.col(column).isin(present) if present else F.lit(False)
@@ -97,6 +95,27 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -
     return spark.read.schema(empty.schema).parquet(path).select(*empty.columns)
 
 
+def _partition_files(
+    spark: SparkSession, path: str, column: str, values: list[date | None] | None
+) -> dict[str, frozenset[str]]:
+    """The file names in each listed partition folder, or in all of them."""
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return {}
+    if values is None:
+        names = [s.getPath().getName() for s in files.listStatus(folder)]
+        names = [n for n in names if n.startswith(f"{column}=")]
+    else:
+        names = [f"{column}={NULL_PARTITION if v is None else v}" for v in values]
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folders = {n: path_of(f"{path}/{n}") for n in names}
+    return {
+        n: frozenset(s.getPath().getName() for s in files.listStatus(f))
+        for n, f in folders.items()
+        if files.exists(f)
+    }
+
+
 def publish_partitions(
     df: DataFrame,
     path: str,
@@ -108,28 +127,22 @@ def publish_partitions(
 
     Tasks write to a hidden folder that the committer moves into place at the end
     of the job, so ``df`` may read the same mart.  With ``may_empty``, touched
-    partitions (all, if they are not listed) that have no row left are removed after
-    the commit.  Returns the observed counts.
+    partitions (all, if they are not listed) that got no row are removed after the
+    commit: their files are the only ones still the same.  Returns the row count.
     """
     spark = df.sparkSession
-    observation = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if may_empty:
-        name = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
-        metrics.append(F.collect_set(name).alias("partitions"))
+    before = _partition_files(spark, path, column, touched) if may_empty else {}
     # Rebalanced by partition value: small partitions end up in one file each, and a
     # partition that holds much of the mart is cut into several tasks.
-    watched = df.observe(observation, *metrics).hint("rebalance", F.col(column))
-    watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        column
-    ).parquet(path)
-    if may_empty:
-        filled = set(observation.get["partitions"])
-        looked_at = None if touched is None else {_partition_name(v) for v in touched}
-        files, folder = _file_system(spark, path)
-        for status in files.listStatus(folder):
-            value = status.getPath().getName().removeprefix(f"{column}=")
-            is_partition = value != status.getPath().getName()
-            if is_partition and value not in filled and (looked_at is None or value in looked_at):
-                files.delete(status.getPath(), True)
+    watched, observation = counted(df, f"publish {path}")
+    watched.hint("rebalance", F.col(column)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(column).parquet(path)
+    if before:
+        after = _partition_files(spark, path, column, touched)
+        files, _ = _file_system(spark, path)
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name, old_files in before.items():
+            if after.get(name) == old_files:
+                files.delete(path_of(f"{path}/{name}"), True)
     return observation
