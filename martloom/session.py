@@ -15,9 +15,18 @@ LOAD_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Plans here are built from hundreds of column calls; recording the call site of
+    # each takes longer than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+# The generated code of a wide cleaning projection passes the size above which HotSpot
+# leaves a method to the interpreter; with this flag it is compiled like any other.
+# Give it to the executors of a cluster too (spark.executor.extraJavaOptions).
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (
@@ -25,6 +34,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra: str) -
         .appName("martloom")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**LOAD_SETTINGS, **extra}.items():
