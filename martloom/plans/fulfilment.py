@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from martloom.functions.gtin import CheckDigitFix, add_check_digit, with_gtin
 from martloom.functions.keys import hash_key
@@ -144,11 +145,7 @@ def fulfilment_delta(
             "kortex_updt_ts": ntz_literal(as_of),
         }
     )
-    return stamped.to(_mart_type(staging))
-
-
-def _mart_type(df: DataFrame):
-    return df.sparkSession.createDataFrame([], MART_SCHEMA).schema
+    return stamped.to(StructType.fromDDL(MART_SCHEMA))
 
 
 def load_fulfilment(

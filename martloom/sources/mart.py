@@ -43,6 +43,11 @@ def _snapshots(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
     ]
 
 
+def empty_frame(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """No rows, and known to the planner to be none, so that joins to it vanish."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def read_snapshot(
     spark: SparkSession, root: str, schema: StructType | str | None = None
 ) -> DataFrame:
@@ -51,7 +56,7 @@ def read_snapshot(
     if not complete:
         if schema is None:
             raise FileNotFoundError(f"no complete snapshot below {root}")
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{root}/{complete[-1]}")
 
@@ -88,7 +93,7 @@ def in_partitions(df: DataFrame, column: str, values: list[date | None] | None)
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A mart that is stored by partitions; empty if nothing was published yet."""
-    empty = spark.createDataFrame([], schema)
+    empty = empty_frame(spark, schema)
     files, folder = _file_system(spark, path)
     if not files.exists(folder):
         return empty
