@@ -7,7 +7,7 @@ them a salt of their own so that they do not meet in one shuffle partition.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -124,6 +124,5 @@ def refresh_attribute(
 def counted(df: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, Observation]:
     """Count rows, in total and per condition, while the frame is written."""
     observation = Observation(name)
-    counts: Mapping[str, Column] = {c: F.count_if(cond) for c, cond in conditions.items()}
-    metrics = [F.count(F.lit(1)).alias("rows")] + [m.alias(c) for c, m in counts.items()]
-    return df.observe(observation, *metrics), observation
+    metrics = [F.count_if(condition).alias(c) for c, condition in conditions.items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics), observation

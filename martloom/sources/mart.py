@@ -77,7 +77,7 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
 def _is_one_of(column: str, values: list[date | None]) -> Column:
     present = [v for v in values if v is not None]
     hit = F.col(column).isin(present) if present else F.lit(False)
-    return F.col(column).isNull() | hit if None in values else F.coalesce(hit, F.lit(False))
+    return (F.col(column).isNull() | hit) if None in values else hit
 
 
 def listed_partitions(df: DataFrame, column: str) -> list[date | None] | None:

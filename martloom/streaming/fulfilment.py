@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from martloom.functions.gtin import CheckDigitFix, add_check_digit
-from martloom.operators.load_window import UNSET_START
 from martloom.plans.fulfilment import run_fulfilment
 
-LAST_MOMENT = datetime(9999, 12, 31)
+# A window that holds every row of a batch.
+FIRST_MOMENT, LAST_MOMENT = datetime(1, 1, 1), datetime(9999, 12, 31)
 
 
 def load_new_files(
@@ -39,7 +39,6 @@ def load_new_files(
     """
 
     def upsert(batch: DataFrame, _: int) -> None:
-        start = datetime.min.replace(year=UNSET_START.year - 1)
         run_fulfilment(
             batch.sparkSession,
             mart_path,
@@ -47,7 +46,7 @@ def load_new_files(
             distribution_centres,
             items,
             calendar,
-            start,
+            FIRST_MOMENT,
             LAST_MOMENT,
             clock(),
             fix,
