@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm.common import documents
 from martloom.llm.exact_dedup import dedup_report, new_index
+from martloom.llm.license_scan import scan_licenses
+from martloom.llm.packing import pack_documents
+from martloom.llm.quality_classifier import classify, fit, read_labels
+from martloom.llm.quality_rules import judge_documents
+from martloom.llm.secret_scan import scan_secrets
 from martloom.llm.sharding import assign_shards
+from martloom.llm.token_files import new_folder, token_file_digest, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 40
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+END_OF_DOCUMENT, END_OF_FILE_DOCUMENT = 0, 2
 
 
 def query(name: str, sql: str | None = None):
@@ -90,3 +99,36 @@ RENDEZVOUS_SQL = f"""
 @query("op6_rendezvous_shards", RENDEZVOUS_SQL)
 def op6_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(documents(spark, folder), [1.0] * SHARDS, added=[1.0])
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return classify(docs, fit(docs, read_labels(spark, folder)))
+
+
+@query("op4_retrieval_packing")
+def op4_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(documents(spark, folder), BYTE_BPE, END_OF_DOCUMENT)
+
+
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = new_folder(spark)
+    write_token_files(documents(spark, folder), files, BYTE_BPE, END_OF_FILE_DOCUMENT)
+    return token_file_digest(spark, files)
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(documents(spark, folder))
+
+
+@query("op9_compression_rules")
+def op9_compression_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_documents(documents(spark, folder))
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(documents(spark, folder))
