@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm.common import documents
 from martloom.llm.exact_dedup import dedup_report, new_index
+from martloom.llm.jaccard_join import jaccard_components
 from martloom.llm.license_scan import scan_licenses
 from martloom.llm.packing import pack_documents
 from martloom.llm.quality_classifier import classify, fit, read_labels
 from martloom.llm.quality_rules import judge_documents
 from martloom.llm.secret_scan import scan_secrets
+from martloom.llm.sentencepiece_fst import encoding_report
 from martloom.llm.sharding import assign_shards
 from martloom.llm.token_files import new_folder, token_file_digest, write_token_files
 
@@ -21,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 40
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 END_OF_DOCUMENT, END_OF_FILE_DOCUMENT = 0, 2
 
@@ -132,3 +135,13 @@ def op9_compression_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_secret_scan")
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(documents(spark, folder))
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_report(documents(spark, folder), PIECES)
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(documents(spark, folder))
