@@ -38,34 +38,39 @@ def update_insert(
 
     The delta holds one row per key.  Columns outside ``update_cols`` keep the
     target's values on a match, even when the delta has newer ones.  ``updated`` is
-    stamped on a match, both stamps on a new row.  One full outer join reads each
-    side once; every key is unique on the delta side, so only NULL keys can be hot.
+    stamped on a match, both stamps on a new row.
+
+    Matches are a left join and new rows an anti join, not one full outer join, which
+    would always shuffle the target: give the delta as a written table, and a small one
+    is broadcast.  The target is read a second time for its keys alone.
     """
     stamp = ntz_literal(as_of)
-    old = target.select(
-        F.struct(*target.columns).alias("old"),
-        *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)],
-        _spread(target, keys).alias("_ts"),
-    )
+    places = range(len(keys))
     new = delta.select(
-        F.struct(*delta.columns).alias("new"),
-        *[F.col(k).alias(f"_d{i}") for i, k in enumerate(keys)],
-        _spread(delta, keys).alias("_ds"),
+        F.struct(*delta.columns).alias("new"), *[F.col(k).alias(f"_d{i}") for i, k in enumerate(keys)]
     )
-    condition = [F.col(f"_t{i}") == F.col(f"_d{i}") for i in range(len(keys))]
-    joined = old.join(new, [*condition, F.col("_ts") == F.col("_ds")], "full_outer")
-    in_target, in_delta = F.col("old").isNotNull(), F.col("new").isNotNull()
+    full = new.dropna(subset=[f"_d{i}" for i in places]).withColumn("_ds", F.lit(0).cast("bigint"))
+    salted = target.withColumn("_ts", _spread(target, keys))
+    same = [F.col(k) == F.col(f"_d{i}") for i, k in enumerate(keys)]
+    joined = salted.join(full, [*same, F.col("_ts") == F.col("_ds")], "left")
+    in_delta = F.col("new").isNotNull()
 
-    def result(name: str) -> Column:
-        if name == created:
-            return F.when(in_target, F.col("old")[name]).otherwise(stamp)
+    def kept(name: str) -> Column:
         if name == updated:
-            return F.when(in_delta, stamp).otherwise(F.col("old")[name])
+            return F.when(in_delta, stamp).otherwise(F.col(name))
         if name in update_cols:
-            return F.when(in_delta, F.col("new")[name]).otherwise(F.col("old")[name])
-        return F.when(in_target, F.col("old")[name]).otherwise(F.col("new")[name])
+            return F.when(in_delta, F.col("new")[name]).otherwise(F.col(name))
+        return F.col(name)
 
-    return joined.select(*[result(c).alias(c) for c in target.columns])
+    def added(name: str) -> Column:
+        return stamp if name in (created, updated) else F.col(name)
+
+    fresh = without_keys(delta, target.select(*keys).join(
+        full.select(*[F.col(f"_d{i}").alias(k) for i, k in enumerate(keys)]), list(keys), "left_semi"
+    ), keys)
+    return joined.select(*[kept(c).alias(c) for c in target.columns]).unionByName(
+        fresh.select(*[added(c).alias(c) for c in target.columns])
+    )
 
 
 def without_keys(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -26,12 +26,7 @@ from martloom.operators.load_window import (
 from martloom.operators.lookup import calendar_days, left_lookup
 from martloom.operators.merge import update_insert
 from martloom.session import write_stage
-from martloom.sources.mart import (
-    in_partitions,
-    listed_partitions,
-    publish_partitions,
-    read_partitioned,
-)
+from martloom.sources.mart import publish_partitions, read_partitions, uploads
 
 # The mart's layout, its key, and what a match updates.
 MART_SCHEMA = """
@@ -112,19 +107,21 @@ def fulfilment_delta(
     distribution_centres: DataFrame,
     items: DataFrame,
     calendar: DataFrame,
-    start: datetime,
+    start: datetime | None,
     end: datetime,
     as_of: datetime,
     fix: CheckDigitFix = add_check_digit,
 ) -> DataFrame:
-    """The window's rows in the mart's layout, one per key.
+    """The window's rows in the mart's layout, one per key; all rows without a start.
 
     The key consists of staging columns alone, so the latest row is chosen before
     the lookups: they see fewer rows, and a dimension with several values per id
     cannot fan out.  Among such values, as among rows loaded at the same time, the
     smallest is taken.
     """
-    windowed = in_closed_window(staging, "kortex_upld_ts", start, end)
+    windowed = staging
+    if start is not None:
+        windowed = in_closed_window(staging, "kortex_upld_ts", start, end)
     latest = latest_wins(clean_orders(windowed), KEYS, "kortex_upld_ts")
     numbered = latest.withColumns(
         {
@@ -166,8 +163,11 @@ def load_fulfilment(
     start = from_dt
     if from_dt == UNSET_START:
         start = start_of(global_high_water(target, "kortex_upld_ts"))
-    delta = fulfilment_delta(
-        staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
+    delta = write_stage(
+        fulfilment_delta(
+            staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
+        ),
+        "fulfilment-delta",
     )
     return update_insert(
         target, delta, KEYS, UPDATED, as_of, created="kortex_cre_ts", updated="kortex_updt_ts"
@@ -181,29 +181,32 @@ def run_fulfilment(
     distribution_centres: DataFrame,
     items: DataFrame,
     calendar: DataFrame,
-    from_dt: datetime,
-    to_dt: datetime,
+    from_dt: datetime | None,
+    to_dt: datetime | None,
     as_of: datetime,
     fix: CheckDigitFix = add_check_digit,
 ) -> Observation:
-    """Load one window into a mart stored by order date.
+    """Load one window into a mart stored by order date; without a start, all rows.
 
     The order date is part of the key, so only the dates in the delta are read and
-    written again; the rest of the mart is not touched.
+    written again.  Rows without a date match nothing: they are added, and those of
+    earlier runs are left alone.  The high-water mark comes from the mart's snapshot.
+    Counted are the rows written, and of them the ones inserted and matched.
     """
-    target = read_partitioned(spark, mart_path, MART_SCHEMA)
     start = from_dt
     if from_dt == UNSET_START:
-        start = start_of(global_high_water(target, "kortex_upld_ts"))
+        start = start_of(global_high_water(uploads(spark, mart_path), "kortex_upld_ts"))
     delta = write_stage(
         fulfilment_delta(
             staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
         ),
         "fulfilment-delta",
     )
-    touched = listed_partitions(delta, "po_cre_dt")
+    touched = write_stage(
+        delta.select("po_cre_dt").filter("po_cre_dt IS NOT NULL").distinct(), "touched-dates"
+    )
     merged = update_insert(
-        in_partitions(target, "po_cre_dt", touched),
+        read_partitions(spark, mart_path, MART_SCHEMA, "po_cre_dt", touched),
         delta,
         KEYS,
         UPDATED,
@@ -211,4 +214,14 @@ def run_fulfilment(
         created="kortex_cre_ts",
         updated="kortex_updt_ts",
     )
-    return publish_partitions(merged, mart_path, "po_cre_dt")
+    stamp = ntz_literal(as_of)
+    new = F.col("kortex_cre_ts") == stamp
+    return publish_partitions(
+        merged,
+        mart_path,
+        "po_cre_dt",
+        touched,
+        uploaded="kortex_upld_ts",
+        inserted=new,
+        matched=~new & (F.col("kortex_updt_ts") == stamp),
+    )

@@ -1,13 +1,16 @@
-"""Marts on shared storage: whole snapshots, and in-place rewrite of partitions.
+"""Marts on shared storage: whole snapshots, and marts stored by partitions.
 
 A run publishes last: everything is computed and written before a reader can see
 any of it, and an error on the way leaves the mart as it was.
+
+A mart stored by partitions is a folder of runs and a snapshot that says which runs hold
+the current rows of which partition.  A run writes its partitions to a folder of its own;
+the next snapshot makes them current, all at once.  What a run left behind when it failed,
+and what later runs replaced, is in no snapshot and can be removed at any time.
 """
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -18,9 +21,8 @@ COMPLETE = "_SUCCESS"
 SNAPSHOT = "snapshot-{:08d}"
 # Name that Spark gives the folder of rows whose partition value is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-# More distinct partitions than this are not listed on the driver: the whole mart
-# is rewritten instead.
-LISTED_PARTITIONS = 20000
+RUNS, CURRENT, RUN = "runs", "current", "run"
+CURRENT_SCHEMA = "partition string, run bigint, rows bigint, uploaded timestamp_ntz"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -74,80 +76,109 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
     return path
 
 
-def _is_one_of(column: str, values: list[date | None]) -> Column:
-    present = [v for v in values if v is not None]
-    hit = F.col(column).isin(present) if present else F.lit(False)
-    return (F.col(column).isNull() | hit) if None in values else hit
+def partition_name(column: str) -> Column:
+    """The name that Spark gives the folder of a date."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
 
 
-def listed_partitions(df: DataFrame, column: str) -> list[date | None] | None:
-    """The distinct values of ``column``, or None when there are too many to list."""
-    rows = df.select(column).distinct().limit(LISTED_PARTITIONS + 1).collect()
-    return None if len(rows) > LISTED_PARTITIONS else [r[0] for r in rows]
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """Per partition and run that holds its rows: their number and latest upload."""
+    return read_snapshot(spark, f"{path}/{CURRENT}", CURRENT_SCHEMA)
 
 
-def in_partitions(df: DataFrame, column: str, values: list[date | None] | None) -> DataFrame:
-    """The rows of the listed partitions, read without opening the others."""
-    return df if values is None else df.filter(_is_one_of(column, values))
+def uploads(spark: SparkSession, path: str, name: str = "kortex_upld_ts") -> DataFrame:
+    """Latest uploads of a mart, from its snapshot: their maximum is that of all rows."""
+    return read_current(spark, path).select(F.col("uploaded").alias(name))
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A mart that is stored by partitions; empty if nothing was published yet."""
+def _read_runs(
+    spark: SparkSession, path: str, schema: StructType | str, column: str, current: DataFrame
+) -> DataFrame:
+    """The rows of the given partitions.
+
+    Their folders are listed on the driver, as for any table stored by partitions.
+    """
     empty = empty_frame(spark, schema)
-    files, folder = _file_system(spark, path)
-    if not files.exists(folder):
+    folders = [
+        f"{path}/{RUNS}/{RUN}={r.run}/{column}={r.partition}"
+        for r in current.select("partition", "run").collect()
+    ]
+    if not folders:
         return empty
-    return spark.read.schema(empty.schema).parquet(path).select(*empty.columns)
+    rows = spark.read.schema(empty.schema).option("basePath", f"{path}/{RUNS}")
+    return rows.parquet(*sorted(folders)).select(*empty.columns)
 
 
-def _partition_files(
-    spark: SparkSession, path: str, column: str, values: list[date | None] | None
-) -> dict[str, frozenset[str]]:
-    """The file names in each listed partition folder, or in all of them."""
-    files, folder = _file_system(spark, path)
+def read_partitioned(
+    spark: SparkSession, path: str, schema: StructType | str, column: str
+) -> DataFrame:
+    """A mart that is stored by partitions; empty if nothing was published yet."""
+    return _read_runs(spark, path, schema, column, read_current(spark, path))
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: StructType | str, column: str, touched: DataFrame
+) -> DataFrame:
+    """The rows of the partitions listed in ``touched``; the folders of others aren't opened."""
+    names = touched.select(partition_name(column).alias("partition")).distinct()
+    listed = read_current(spark, path).join(names, "partition", "left_semi")
+    return _read_runs(spark, path, schema, column, listed)
+
+
+def _next_run(spark: SparkSession, path: str) -> int:
+    files, folder = _file_system(spark, f"{path}/{RUNS}")
     if not files.exists(folder):
-        return {}
-    if values is None:
-        names = [s.getPath().getName() for s in files.listStatus(folder)]
-        names = [n for n in names if n.startswith(f"{column}=")]
-    else:
-        names = [f"{column}={NULL_PARTITION if v is None else v}" for v in values]
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    folders = {n: path_of(f"{path}/{n}") for n in names}
-    return {
-        n: frozenset(s.getPath().getName() for s in files.listStatus(f))
-        for n, f in folders.items()
-        if files.exists(f)
-    }
+        return 1
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    return 1 + max((int(n.partition("=")[2]) for n in names if n.startswith(f"{RUN}=")), default=0)
 
 
 def publish_partitions(
     df: DataFrame,
     path: str,
     column: str,
-    touched: list[date | None] | None = None,
-    may_empty: bool = False,
+    touched: DataFrame | None = None,
+    uploaded: str | None = None,
+    **conditions: Column,
 ) -> Observation:
-    """Replace the partitions that ``df`` has rows for, and keep all others.
-
-    Tasks write to a hidden folder that the committer moves into place at the end
-    of the job, so ``df`` may read the same mart.  With ``may_empty``, touched
-    partitions (all, if they are not listed) that got no row are removed after the
-    commit: their files are the only ones still the same.  Returns the row count.
+    """Make ``df`` the rows of the ``touched`` partitions, and keep all others.
+
+    Touched partitions without rows in ``df`` vanish.  Rows of a partition that isn't
+    touched are added to it; its old rows are neither read nor written.  Without a list,
+    the partitions that ``df`` has rows for are touched.  ``uploaded`` is the upload time,
+    whose maximum is kept with each partition.  The switch is the new snapshot: until it is
+    complete readers see the mart as it was, and a run that failed can be repeated.
+    Returns the number of rows, and of those that meet each condition.
     """
     spark = df.sparkSession
-    before = _partition_files(spark, path, column, touched) if may_empty else {}
+    number = _next_run(spark, path)
     # Rebalanced by partition value: small partitions end up in one file each, and a
     # partition that holds much of the mart is cut into several tasks.
-    watched, observation = counted(df, f"publish {path}")
-    watched.hint("rebalance", F.col(column)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(column).parquet(path)
-    if before:
-        after = _partition_files(spark, path, column, touched)
-        files, _ = _file_system(spark, path)
-        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for name, old_files in before.items():
-            if after.get(name) == old_files:
-                files.delete(path_of(f"{path}/{name}"), True)
+    watched, observation = counted(df, f"publish {path}", **conditions)
+    folder = f"{path}/{RUNS}/{RUN}={number}"
+    watched.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(folder)
+    latest = F.max(uploaded) if uploaded else F.lit(None)
+    fresh = (
+        spark.read.schema(df.schema)
+        .parquet(folder)
+        .groupBy(partition_name(column).alias("partition"))
+        .agg(F.count(F.lit(1)).alias("rows"), latest.cast("timestamp_ntz").alias("uploaded"))
+        .select("partition", F.lit(number).cast("bigint").alias("run"), "rows", "uploaded")
+    )
+    gone = fresh.select("partition")
+    if touched is not None:
+        gone = touched.select(partition_name(column).alias("partition")).distinct()
+    kept = read_current(spark, path).join(gone, "partition", "left_anti")
+    publish_snapshot(kept.unionByName(fresh).coalesce(1), f"{path}/{CURRENT}")
     return observation
+
+
+def remove_old_runs(spark: SparkSession, path: str) -> list[int]:
+    """Delete run folders that the snapshot names nowhere; not while a run or a reader of an
+    older snapshot is at work."""
+    current = {r.run for r in read_current(spark, path).select("run").distinct().collect()}
+    old = [n for n in range(1, _next_run(spark, path)) if n not in current]
+    for number in old:
+        files, folder = _file_system(spark, f"{path}/{RUNS}/{RUN}={number}")
+        files.delete(folder, True)
+    return old

@@ -16,9 +16,6 @@ from pyspark.sql.types import StructType
 from martloom.functions.gtin import CheckDigitFix, add_check_digit
 from martloom.plans.fulfilment import run_fulfilment
 
-# A window that holds every row of a batch.
-FIRST_MOMENT, LAST_MOMENT = datetime(1, 1, 1), datetime(9999, 12, 31)
-
 
 def load_new_files(
     spark: SparkSession,
@@ -46,8 +43,8 @@ def load_new_files(
             distribution_centres,
             items,
             calendar,
-            FIRST_MOMENT,
-            LAST_MOMENT,
+            None,
+            None,
             clock(),
             fix,
         )

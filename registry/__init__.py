@@ -27,13 +27,3 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table for row-wise heavy work, over all cores even if it is one small file.
-
-    A table that already fills the cores is left as it is, without a shuffle.
-    """
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -11,11 +11,12 @@ from martloom.operators.merge import (
     update_insert,
 )
 from martloom.sources.mart import (
-    in_partitions,
-    listed_partitions,
     publish_partitions,
     publish_snapshot,
+    read_current,
     read_partitioned,
+    read_partitions,
+    remove_old_runs,
     read_snapshot,
 )
 
@@ -135,28 +136,74 @@ def test_snapshots(spark, tmp_path):
     assert read_snapshot(spark, root).count() == 1
 
 
+def days_of(spark, *days):
+    return spark.createDataFrame([(d,) for d in days], "d date")
+
+
 def test_partitions(spark, tmp_path):
     path = str(tmp_path / "mart")
     schema = "k string, d date"
     days = [date(2024, 1, n) for n in range(1, 5)]
-    assert read_partitioned(spark, path, schema).isEmpty()
+
+    def stored():
+        return read_partitioned(spark, path, schema, "d")
+
+    assert stored().isEmpty()
     rows = [("a", days[0]), ("b", days[1]), ("c", None), ("d", days[2])]
     publish_partitions(spark.createDataFrame(rows, schema), path, "d")
-    stored = read_partitioned(spark, path, schema)
-    touched = [days[0], days[1], None]
-    part = in_partitions(stored, "d", touched)
+    touched = days_of(spark, days[0], days[1], None)
+    part = read_partitions(spark, path, schema, "d", touched)
     assert {r.k for r in part.collect()} == {"a", "b", "c"}
     moved = part.withColumn("d", F.when(F.col("k") == "a", F.lit(days[3])).otherwise(F.col("d")))
-    seen = publish_partitions(moved.filter("k <> 'c'"), path, "d", touched, may_empty=True)
-    assert seen.get["rows"] == 2
-    stored = read_partitioned(spark, path, schema)
-    assert {(r.k, r.d) for r in stored.collect()} == {
+    untouched = read_partitions(spark, path, schema, "d", days_of(spark, days[2])).inputFiles()
+    seen = publish_partitions(moved.filter("k <> 'c'"), path, "d", touched, late=F.col("k") == "b")
+    assert seen.get == {"rows": 2, "late": 1}
+    assert {(r.k, r.d) for r in stored().collect()} == {
         ("a", days[3]),
         ("b", days[1]),
         ("d", days[2]),
     }
-    assert set(listed_partitions(stored, "d")) == {days[1], days[2], days[3]}
-    files = in_partitions(stored, "d", [days[1]]).inputFiles()
-    assert len(files) >= 1
-    plan = in_partitions(stored, "d", [days[1]])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert set(untouched) <= set(stored().inputFiles())
+    # Rows of a partition that isn't touched are added to it.
+    publish_partitions(spark.createDataFrame([("e", None)], schema), path, "d", days_of(spark))
+    publish_partitions(spark.createDataFrame([("f", None)], schema), path, "d", days_of(spark))
+    assert {r.k for r in stored().filter("d IS NULL").collect()} == {"e", "f"}
+    before = stored().collect()
+    assert remove_old_runs(spark, path) == []
+    publish_partitions(stored().filter("k <> 'f'"), path, "d")
+    assert remove_old_runs(spark, path) == [1, 2, 3, 4]
+    assert len(stored().collect()) == len(before) - 1
+
+
+def test_a_run_that_fails_leaves_the_mart_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    schema = "k string, d date"
+    days = [date(2024, 1, n) for n in range(1, 5)]
+    first = spark.createDataFrame([("a", days[0]), ("b", days[1])], schema)
+    publish_partitions(first, path, "d")
+    broken = F.when(F.col("k") == "b", F.raise_error(F.lit("broken"))).otherwise(F.col("k"))
+    part = read_partitioned(spark, path, schema, "d")
+    with pytest.raises(Exception, match="broken"):
+        publish_partitions(part.withColumn("k", broken), path, "d")
+    # As if the driver died between the last task and the switch.
+    part.withColumn("k", F.lit("half")).write.partitionBy("d").parquet(f"{path}/runs/run=9")
+    assert {r.k for r in read_partitioned(spark, path, schema, "d").collect()} == {"a", "b"}
+    publish_partitions(part.withColumn("k", F.upper("k")), path, "d")
+    assert {r.k for r in read_partitioned(spark, path, schema, "d").collect()} == {"A", "B"}
+    assert {r.run for r in read_current(spark, path).collect()} == {10}
+
+
+def test_update_of_a_small_delta_does_not_shuffle_the_target(spark, tmp_path):
+    stamps = ["up", "cre", "upd"]
+    rows = spark.range(2000).select(
+        F.col("id").cast("string").alias("k"), F.lit(1).alias("n"), F.lit("v").alias("v"),
+        *[F.lit(DAY[0]).cast("timestamp_ntz").alias(c) for c in stamps],
+    )
+    rows.write.parquet(str(tmp_path / "target"))
+    delta(spark, ("1", 1, "x"), (None, 1, "y")).write.parquet(str(tmp_path / "delta"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    out = update_insert(target, spark.read.parquet(str(tmp_path / "delta")), as_of=DAY[5], **RUN)
+    assert out.count() == 2001
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan

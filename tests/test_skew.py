@@ -102,7 +102,7 @@ def test_hot_partition_is_written_by_several_tasks(spark, facts, tmp_path):
         spark__sql__shuffle__partitions="8",
     ):
         publish_partitions(rows, path, "d")
-    stored = read_partitioned(spark, path, "id bigint, pad string, d date")
+    stored = read_partitioned(spark, path, "id bigint, pad string, d date", "d")
     assert stored.count() == ROWS
     hot = [f for f in stored.inputFiles() if "d=2024-01-02" in f]
     assert 1 < len(hot) < 40

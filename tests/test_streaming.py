@@ -14,11 +14,11 @@ def test_only_new_files_are_loaded(spark, dims, tmp_path):  # noqa: F811
         load_new_files(
             spark, folder, STAGING, str(tmp_path / "seen"), mart, *dims, clock=lambda: as_of
         )
-        stored = read_partitioned(spark, mart, MART_SCHEMA).collect()
+        stored = read_partitioned(spark, mart, MART_SCHEMA, "po_cre_dt").collect()
         return sorted((r.po_nbr, r.po_order_qty, r.kortex_updt_ts) for r in stored)
 
-    arrive(order("P1"), order("P2"))
-    assert load(DAY[9]) == [("P1", 5, DAY[9]), ("P2", 5, DAY[9])]
-    assert load(DAY[10]) == [("P1", 5, DAY[9]), ("P2", 5, DAY[9])]
+    arrive(order("P0", up=None), order("P1"), order("P2"))
+    assert load(DAY[9]) == [(f"P{n}", 5, DAY[9]) for n in range(3)]
+    assert load(DAY[10]) == [(f"P{n}", 5, DAY[9]) for n in range(3)]
     arrive(order("P2", qty="8", up=DAY[3]), order("P3", up=DAY[0]))
-    assert load(DAY[11]) == [("P1", 5, DAY[9]), ("P2", 8, DAY[11]), ("P3", 5, DAY[11])]
+    assert load(DAY[11]) == [("P0", 5, DAY[9]), ("P1", 5, DAY[9]), ("P2", 8, DAY[11]), ("P3", 5, DAY[11])]
