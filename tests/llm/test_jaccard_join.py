@@ -1,0 +1,115 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from martloom.llm import jaccard_join as jj
+from tests.llm.odd import COLUMNS, ROWS, no_documents, odd_documents, table
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))) if words else frozenset()
+
+
+def by_hand(rows, part=90, of=100):
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and of * len(a & sets[j]) >= part * len(a | sets[j]):
+                label[root(i)] = root(j)
+    groups = defaultdict(list)
+    for i in range(len(rows)):
+        groups[root(i)].append(rows[i][0])
+    return [
+        (rows[i][0], len(sets[i]), min((k for k in groups[root(i)] if k is not None), default=None))
+        for i in range(len(rows))
+    ]
+
+
+def compare(spark, rows):
+    found = jj.jaccard_components(odd_documents(spark, rows)).collect()
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted([tuple(r) for r in found], key=key) == sorted(by_hand(rows), key=key)
+
+
+def edited(words, edits, draw):
+    out = list(words)
+    for _ in range(edits):
+        out[draw.randrange(len(out))] = f"e{draw.randrange(10**6)}"
+    return out
+
+
+def test_near_copies_of_all_sizes(spark):
+    """Light and heavy sets, at both sides of the limit, and passages that many share."""
+    draw, rows = random.Random(11), list(ROWS)
+    passage = [f"p{i}" for i in range(60)]
+    for n in [1, 2, 3, 5, 9, 11, 12, 13, 20, 24, 31, 33, 42, 60, 150, 400, 900]:
+        words = [f"{n}-{draw.randrange(5000)}" for _ in range(n)]
+        for edits in {0, 1, 1 + n // 120, 1 + n // 57, n // 40, n // 20}:
+            if edits <= n:
+                rows.append((0, " ".join(edited(words, edits, draw))))
+        rows.append((0, " ".join(words + ["tail"])))
+        rows.append((0, " ".join(passage + words)))
+    rows = [(i, t) if k == 0 else (k, t) for i, (k, t) in enumerate(rows, 100)]
+    compare(spark, rows)
+
+
+def test_chains_and_large_groups(spark):
+    """Members of a group that are linked through others only, and lists of one segment."""
+    draw, rows = random.Random(5), []
+    words = [f"c{i}" for i in range(300)]
+    for i in range(60):
+        words = edited(words, 2, draw)
+        rows.append((1000 - i, " ".join(words)))
+    core = [f"k{i}" for i in range(200)]
+    rows += [(2000 + i, " ".join(edited(core, 5, draw))) for i in range(60)]
+    rows += [(3000 + i, " ".join(core)) for i in range(40)]
+    compare(spark, rows)
+
+
+def test_no_documents(spark):
+    assert jj.jaccard_components(no_documents(spark)).count() == 0
+    assert jj.keep_one_of_each(no_documents(spark)).count() == 0
+    assert jj.jaccard_components(table(spark, [(1, None), (2, "")])).count() == 2
+
+
+def test_one_of_each_stays_with_its_columns(spark):
+    rows = [(i, t) for i, t in ROWS if i not in (None,)]
+    kept = jj.keep_one_of_each(odd_documents(spark, rows))
+    assert kept.columns == COLUMNS
+    labels = {(k, c) for k, n, c in by_hand(rows) if n}
+    want = sorted([c for _, c in {(c, c) for _, c in labels}] + [4, 5, 6])
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
+@pytest.mark.parametrize("share", [(90, 100), (8, 10), (1, 2)])
+def test_any_linked_pair_shares_a_signature(share):
+    part, of = share
+    draw = np.random.default_rng(3)
+    for _ in range(300):
+        common = int(draw.integers(1, 400))
+        most = common * (of - part) // part
+        extra = int(draw.integers(0, most + 1)) if most else 0
+        left = int(draw.integers(0, extra + 1))
+        pool = draw.integers(0, 1 << 63, common + extra, dtype=np.uint64)
+        a = np.unique(np.concatenate([pool[:common], pool[common : common + left]]))
+        b = np.unique(np.concatenate([pool[:common], pool[common + left :]]))
+        assert set(jj.list_signatures(a, share)) & set(jj.list_signatures(b, share))
+        if max(len(a), len(b)) < 14:
+            assert set(jj.subset_signatures(a, share)) & set(jj.subset_signatures(b, share))
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(64)] + [(500, 501 + i) for i in range(50)] + [(7, 7)]
+    df = spark.createDataFrame(links, "a long, b long")
+    found = {r.node: r.component for r in jj.components(df).collect()}
+    assert found == {i: 0 for i in range(1, 65)} | {501 + i: 500 for i in range(50)}

@@ -1,0 +1,136 @@
+import collections
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from martloom.llm import token_files
+from martloom.llm.packing import Index, chained, pack_documents, windows
+from martloom.llm.token_ids import TextEncoder
+from tests.llm.odd import ROWS, no_documents, odd_documents, prose, table
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = [
+    *("a b the e  ing . .. , 's 't ' <|endoftext|> 日 😀 1 23 é ª ſ ½ ٣ Ⅷ _ - ABC xxxxx".split(" ")),
+    " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\r\n", "\x1c", "\x85", "\xa0", "　", "the ", " the",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_chunks_give_the_ids_of_whole_texts(library):
+    encode, draw = TextEncoder(BYTE_BPE), random.Random(1)
+    texts = ["".join(draw.choices(PIECES, k=draw.randrange(14))) for _ in range(4000)]
+    for text in texts + [t or "" for _, t in ROWS]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == library(text), repr(text)
+
+
+def test_files_read_back(spark, library):
+    folder = token_files.new_folder(spark)
+    token_files.write_token_files(odd_documents(spark), folder, BYTE_BPE, 2)
+    found = token_files.read_token_files(spark, folder).collect()
+    want = [(k, library(t or "") + [2]) for k, t in ROWS]
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    got = [(r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in found]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    ordered = sorted(found, key=lambda r: r.start)
+    assert [r.doc_id or 0 for r in ordered] == sorted(r.doc_id or 0 for r in ordered)
+    assert [r.start for r in ordered] == np.cumsum([0] + [r.n_tokens for r in ordered])[:-1].tolist()
+    digests = {(r.start, r.ids_crc32) for r in token_files.token_file_digest(spark, folder).collect()}
+    assert digests == {(r.start, zlib.crc32(r.ids)) for r in found}
+    few = dict(token_files.read_documents(spark, folder, [1, 12]))
+    assert few == {k: ids for k, ids in want if k in (1, 12)}
+
+
+def test_files_of_no_documents(spark):
+    folder = token_files.new_folder(spark)
+    token_files.write_token_files(no_documents(spark), folder, BYTE_BPE, 2)
+    assert token_files.token_file_digest(spark, folder).count() == 0
+
+
+def test_files_need_their_dictionary(spark):
+    one, other = token_files.new_folder(spark), token_files.new_folder(spark)
+    token_files.write_token_files(table(spark, [(1, prose(1))]), one, BYTE_BPE, 2)
+    token_files.write_token_files(table(spark, [(1, prose(2))]), other, BYTE_BPE, 2)
+    spark.read.parquet(f"{other}/dictionary").write.mode("overwrite").parquet(f"{one}/dictionary")
+    with pytest.raises(Exception, match="another dictionary"):
+        token_files.token_file_digest(spark, one).collect()
+
+
+def check_pieces(found, want):
+    """Every id in one piece, sequences gapless and of 1024 at most."""
+    texts, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in found:
+        texts[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    for key, ids in want.items():
+        at, array = 0, np.array(ids, "<u4")
+        for r in sorted(texts[key], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(array[at : at + r.length])
+            at += r.length
+        assert at == len(ids)
+    padding = 0
+    for rows in sequences.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 1024
+        padding += 0 if at & (at - 1) == 0 else 1024 - at
+    assert padding == 0
+
+
+def test_packing_of_odd_rows(spark, library):
+    rows = [(k, t) for k, t in ROWS if k not in (None, 11)] + [(None, "no key")]
+    found = pack_documents(odd_documents(spark, rows), BYTE_BPE, shard_documents=4).collect()
+    check_pieces(found, {k: library(t or "") + [0] for k, t in rows})
+    assert pack_documents(no_documents(spark), BYTE_BPE).count() == 0
+    twice = pack_documents(table(spark, [(1, "same")] * 3), BYTE_BPE).collect()
+    assert sum(r.length for r in twice) == 3 * (len(library("same")) + 1)
+
+
+def bm25(query, ids, k1=1.2, b=0.75):
+    """Scores of all documents for a set of terms, by the formula."""
+    mean = sum(map(len, ids)) / len(ids)
+    out = []
+    for doc in ids:
+        held, score = collections.Counter(doc), 0.0
+        for term in query:
+            df = sum(term in set(d) for d in ids)
+            idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5))
+            tf = held[term]
+            score += idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(doc) / mean))
+        out.append(score)
+    return out
+
+
+def test_index_scores_are_bm25():
+    draw = np.random.default_rng(1)
+    ids = [draw.integers(0, 40, draw.integers(3, 60)).astype(np.uint32) for _ in range(25)]
+    index = Index(ids)
+    for doc in range(25):
+        want = bm25(index.queries[doc].tolist(), [d.tolist() for d in ids])
+        assert np.allclose(index.scores(doc), want)
+
+
+def test_neighbours_of_one_subject_share_windows():
+    draw = np.random.default_rng(2)
+    ids = [draw.integers(100 * (i % 4), 100 * (i % 4) + 60, 200).astype(np.uint32) for i in range(80)]
+    order = chained(ids, window=1000)
+    assert sorted(order) == list(range(80))
+    same = sum(a % 4 == b % 4 for a, b in zip(order, order[1:], strict=False))
+    assert same >= 70
+
+
+def test_rest_is_cut_at_powers_of_two():
+    assert windows(2048 + 700) == [1024, 1024, 512, 128, 32, 16, 8, 4]
+    assert windows(1024) == [1024] and windows(0) == []
