@@ -10,6 +10,9 @@ lines, so a text is read twice: cut at line ends, and with single line ends as s
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,18 +131,16 @@ def rule_pattern(names: list[str]) -> str:
     return ".*".join(f" {name} " for name in names)
 
 
-def decided(sequence: Column) -> Column:
-    """licence:rule of every licence that a rule finds, in the rules' order of licences."""
-    spaced = F.concat(F.lit("  "), F.array_join(sequence, "  "), F.lit("  "))
-    licences = list(dict.fromkeys(licence for licence, _, _ in RULES))
+def decided(*readings: Column) -> Column:
+    """licence:rule of every licence that a rule finds in a reading, the first rule of each."""
+    spaced = [F.concat(F.lit("  "), F.array_join(r, "  "), F.lit("  ")) for r in readings]
     each = []
-    for licence in licences:
+    for licence in dict.fromkeys(licence for licence, _, _ in RULES):
         first = F.lit(None).cast("string")
         for name, rule, needs in reversed(RULES):
             if name == licence:
-                first = F.when(spaced.rlike(rule_pattern(needs)), f"{licence}:{rule}").otherwise(
-                    first
-                )
+                found = [r.rlike(rule_pattern(needs)) for r in spaced]
+                first = F.when(reduce(or_, found), f"{licence}:{rule}").otherwise(first)
         each.append(first)
     return F.filter(F.array(*each), lambda x: x.isNotNull())
 
@@ -167,7 +168,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.concat("lines", "paragraphs")
     )
     some = F.size("lines") + F.size("paragraphs") > 0
-    found = F.array_union(decided(F.col("lines")), decided(F.col("paragraphs")))
+    found = decided(F.col("lines"), F.col("paragraphs"))
     return rows.select(
         F.col("key").alias(key),
         F.size(both).cast("long").alias("n_sentences"),
