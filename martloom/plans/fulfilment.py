@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from martloom.functions.gtin import CheckDigitFix, add_check_digit, with_gtin
@@ -26,7 +26,12 @@ from martloom.operators.load_window import (
 from martloom.operators.lookup import calendar_days, left_lookup
 from martloom.operators.merge import update_insert
 from martloom.session import write_stage
-from martloom.sources.mart import publish_partitions, read_partitions, uploads
+from martloom.sources.mart import (
+    publish_partitions,
+    read_partitioned,
+    read_partitions,
+    uploads,
+)
 
 # The mart's layout, its key, and what a match updates.
 MART_SCHEMA = """
@@ -39,6 +44,10 @@ MART_SCHEMA = """
     kortex_dprct_ts timestamp_ntz, kortex_upld_ts timestamp_ntz,
     kortex_cre_ts timestamp_ntz, kortex_updt_ts timestamp_ntz
 """
+# Layout column of a stored mart, derived from the order date: the orders of one load are
+# spread over many days, and a folder for each would hold a few rows.
+ORDER_MONTH = "po_cre_mon"
+STORED_SCHEMA = f"{MART_SCHEMA.rstrip()}, {ORDER_MONTH} date"
 KEYS = ["src_nm", "po_nbr", "intrnl_dc_id", "intrnl_item_id", "po_cre_dt"]
 HASH_PARTS = ["src_nm", "po_nbr", "po_cre_dt", "intrnl_dc_id", "intrnl_item_id"]
 UPDATED = [
@@ -185,10 +194,10 @@ def run_fulfilment(
     to_dt: datetime | None,
     as_of: datetime,
     fix: CheckDigitFix = add_check_digit,
-) -> Observation:
-    """Load one window into a mart stored by order date; without a start, all rows.
+) -> dict[str, int]:
+    """Load one window into a mart stored by month of order date; without a start, all rows.
 
-    The order date is part of the key, so only the dates in the delta are read and
+    The order date is part of the key, so only the months in the delta are read and
     written again.  Rows without a date match nothing: they are added, and those of
     earlier runs are left alone.  The high-water mark comes from the mart's snapshot.
     Counted are the rows written, and of them the ones inserted and matched.
@@ -196,17 +205,19 @@ def run_fulfilment(
     start = from_dt
     if from_dt == UNSET_START:
         start = start_of(global_high_water(uploads(spark, mart_path), "kortex_upld_ts"))
+    month = F.trunc("po_cre_dt", "month")
     delta = write_stage(
         fulfilment_delta(
             staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
-        ),
+        ).withColumn(ORDER_MONTH, month),
         "fulfilment-delta",
     )
     touched = write_stage(
-        delta.select("po_cre_dt").filter("po_cre_dt IS NOT NULL").distinct(), "touched-dates"
+        delta.select(ORDER_MONTH).filter(F.col(ORDER_MONTH).isNotNull()).distinct(),
+        "touched-months",
     )
     merged = update_insert(
-        read_partitions(spark, mart_path, MART_SCHEMA, "po_cre_dt", touched),
+        read_partitions(spark, mart_path, STORED_SCHEMA, ORDER_MONTH, touched),
         delta,
         KEYS,
         UPDATED,
@@ -219,9 +230,15 @@ def run_fulfilment(
     return publish_partitions(
         merged,
         mart_path,
-        "po_cre_dt",
+        ORDER_MONTH,
         touched,
         uploaded="kortex_upld_ts",
         inserted=new,
         matched=~new & (F.col("kortex_updt_ts") == stamp),
     )
+
+
+def read_fulfilment(spark: SparkSession, mart_path: str) -> DataFrame:
+    """The mart that ``run_fulfilment`` keeps."""
+    stored = read_partitioned(spark, mart_path, STORED_SCHEMA, ORDER_MONTH)
+    return stored.drop(ORDER_MONTH)

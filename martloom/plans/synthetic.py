@@ -1,7 +1,8 @@
 """Synthetic tables from column profiles.
 
-Every draw is a hash of the row number and the column's seed.  It does not depend
-on partitioning, so a lost task or another cluster size gives the same rows.
+Every draw is an MD5 of the row number and the column's seed.  It does not depend on
+partitioning, so a lost task or another cluster size gives the same rows, and any database
+can draw the same.
 """
 
 from __future__ import annotations
@@ -22,9 +23,15 @@ FILLER = "abcdefghifklmnopqrstuvwxyz"
 PER_MILLE = 1000
 
 
+def number_of(text: Column) -> Column:
+    """A whole number below 2^60 from the digest of a text."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def draw(seed: int, high: int) -> Column:
     """A whole number from 1 to ``high``, fixed by row and seed."""
-    return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(high).cast("bigint")) + 1
+    row = F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)))
+    return number_of(row) % F.lit(high).cast("bigint") + 1
 
 
 def _is_key(line: ColumnProfile) -> bool:
@@ -53,9 +60,8 @@ def _varchar(line: ColumnProfile, seed: int, as_of: date) -> Column:
     shortest = int(line.precision or 1)
     longest = int(line.length)
     word = draw(seed, int(line.cardinality))
-    letters = F.sha2(F.concat_ws(":", word.cast("string"), F.lit(seed)), 256)
-    spread = F.xxhash64(word, F.lit(seed))
-    length = F.pmod(spread, F.lit(longest - shortest + 1).cast("bigint")) + shortest
+    letters = F.sha2(F.concat_ws(":", word.cast("string"), F.lit(str(seed))), 256)
+    length = number_of(letters) % F.lit(longest - shortest + 1).cast("bigint") + shortest
     repeats = -(-longest // 64)
     return F.substring(F.repeat(letters, F.lit(repeats)), F.lit(1), length.cast("int"))
 

@@ -70,3 +70,8 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def new_mart_path(spark: SparkSession) -> str:
+    """A path in the shared folder for a mart that begins empty."""
+    return f"{scratch_folder(spark)}/mart-{uuid.uuid4().hex}"

@@ -11,10 +11,10 @@ and what later runs replaced, is in no snapshot and can be removed at any time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from martloom.operators.merge import counted
+from martloom.session import write_stage
 
 # Marker that Spark's committer leaves in a completely written folder.
 COMPLETE = "_SUCCESS"
@@ -140,7 +140,7 @@ def publish_partitions(
     touched: DataFrame | None = None,
     uploaded: str | None = None,
     **conditions: Column,
-) -> Observation:
+) -> dict[str, int]:
     """Make ``df`` the rows of the ``touched`` partitions, and keep all others.
 
     Touched partitions without rows in ``df`` vanish.  Rows of a partition that isn't
@@ -148,29 +148,40 @@ def publish_partitions(
     the partitions that ``df`` has rows for are touched.  ``uploaded`` is the upload time,
     whose maximum is kept with each partition.  The switch is the new snapshot: until it is
     complete readers see the mart as it was, and a run that failed can be repeated.
-    Returns the number of rows, and of those that meet each condition.
+
+    Returns what the run did, counted from its files: the rows written, those that meet
+    each condition, and the rows that the touched partitions had before.
     """
     spark = df.sparkSession
     number = _next_run(spark, path)
     # Rebalanced by partition value: small partitions end up in one file each, and a
     # partition that holds much of the mart is cut into several tasks.
-    watched, observation = counted(df, f"publish {path}", **conditions)
     folder = f"{path}/{RUNS}/{RUN}={number}"
-    watched.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(folder)
+    df.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(folder)
     latest = F.max(uploaded) if uploaded else F.lit(None)
-    fresh = (
+    fresh = write_stage(
         spark.read.schema(df.schema)
         .parquet(folder)
         .groupBy(partition_name(column).alias("partition"))
-        .agg(F.count(F.lit(1)).alias("rows"), latest.cast("timestamp_ntz").alias("uploaded"))
-        .select("partition", F.lit(number).cast("bigint").alias("run"), "rows", "uploaded")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            latest.cast("timestamp_ntz").alias("uploaded"),
+            *[F.count_if(condition).alias(f"_{name}") for name, condition in conditions.items()],
+        )
+        .withColumn("run", F.lit(number).cast("bigint")),
+        "fresh-partitions",
     )
     gone = fresh.select("partition")
     if touched is not None:
         gone = touched.select(partition_name(column).alias("partition")).distinct()
-    kept = read_current(spark, path).join(gone, "partition", "left_anti")
-    publish_snapshot(kept.unionByName(fresh).coalesce(1), f"{path}/{CURRENT}")
-    return observation
+    old = read_current(spark, path)
+    names = ["partition", "run", "rows", "uploaded"]
+    current = old.join(gone, "partition", "left_anti").unionByName(fresh.select(*names))
+    before = old.join(gone, "partition", "left_semi").agg(F.sum("rows"))
+    counts = fresh.agg(F.sum("rows"), *[F.sum(f"_{name}") for name in conditions]).first()
+    seen = dict(zip(["rows", *conditions, "before"], [*counts, before.first()[0]], strict=True))
+    publish_snapshot(current.coalesce(1), f"{path}/{CURRENT}")
+    return {name: count or 0 for name, count in seen.items()}
 
 
 def remove_old_runs(spark: SparkSession, path: str) -> list[int]:

@@ -18,7 +18,7 @@ def customer_tree(spark, folder):
     """Set n hangs below set n div 8; sets 1 to 7 are the roots."""
     customer = table(spark, folder, "customer").filter("c_custkey > 0")
     key = F.col("c_custkey")
-    klass, sub = F.lit("0101"), F.lit("KNA")
+    klass, sub = F.lit("0101"), F.lit("AREA")
     name = F.concat(F.lit("C"), key.cast("string"))
     own = [klass.alias("setclass"), sub.alias("subclass"), name.alias("setname")]
     kind = F.when(key % 11 == 0, "B").when(key % 11 <= 2, "S").otherwise("G")
@@ -73,8 +73,8 @@ def customer_tree(spark, folder):
         )
 
     applications = (
-        users("true", "KNA", "APP")
-        .unionByName(users("c_custkey <= 3", "KNA", "REP"))
+        users("true", "AREA", "APP")
+        .unionByName(users("c_custkey <= 3", "AREA", "REP"))
         .unionByName(users("c_custkey = 2", "ZZZ", "OLD"))
     )
     return HierarchySources(
@@ -124,7 +124,7 @@ def customer_tree(spark, folder):
       SELECT 'C' || c_custkey AS root, label || c_custkey AS appl_nm, label AS qualfr
       FROM customer, (SELECT unnest(['APP', 'REP']) AS label)
       WHERE c_custkey BETWEEN 1 AND 7 AND (label = 'APP' OR c_custkey <= 3))
-    SELECT appl_nm, '0101' AS set_class_cd, 'KNA' AS sub_class_cd, nm AS set_nm,
+    SELECT appl_nm, '0101' AS set_class_cd, 'AREA' AS sub_class_cd, nm AS set_nm,
            settype AS set_type_cd, CAST(lvl AS BIGINT) AS level_nbr, {LEVELS_SQL},
            qualfr, 'LKP' AS src_nm, md5('LKP') AS hash_key,
            TIMESTAMP '2023-12-30 00:00:00' AS kortex_dprct_ts,

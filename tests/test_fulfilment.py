@@ -4,8 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators.load_window import UNSET_START
-from martloom.plans.fulfilment import MART_SCHEMA, fulfilment_delta, run_fulfilment
-from martloom.sources.mart import read_partitioned, read_partitions
+from martloom.plans.fulfilment import (
+    ORDER_MONTH,
+    STORED_SCHEMA,
+    fulfilment_delta,
+    read_fulfilment,
+    run_fulfilment,
+)
+from martloom.sources.mart import read_partitions
 
 STAGING = """src_nm string, po_number string, po_type string, internal_item_id string,
     internal_dc_id string, create_dt string, mabd string, order_qty string,
@@ -64,22 +70,22 @@ def test_run_rewrites_only_touched_dates(spark, dims, tmp_path):
     def run(rows, start, end, as_of):
         staging = spark.createDataFrame(rows, STAGING)
         run_fulfilment(spark, path, staging, *dims, start, end, as_of)
-        stored = read_partitioned(spark, path, MART_SCHEMA, "po_cre_dt").collect()
+        stored = read_fulfilment(spark, path).collect()
         return {(r.po_nbr, r.po_order_qty): r for r in stored}, len(stored)
 
     def files_of(day):
-        day = spark.createDataFrame([(day,)], "d string").select(F.to_date("d").alias("po_cre_dt"))
-        return set(read_partitions(spark, path, MART_SCHEMA, "po_cre_dt", day).inputFiles())
+        day = spark.createDataFrame([(day,)], "d string").select(F.to_date("d").alias(ORDER_MONTH))
+        return set(read_partitions(spark, path, STORED_SCHEMA, ORDER_MONTH, day).inputFiles())
 
-    first = [order("P1", up=DAY[1]), order("P2", created="2024-01-03")]
+    first = [order("P1", up=DAY[1]), order("P2", created="2024-02-03")]
     first.append(order("P9", created="", up=DAY[1]))
     got, n = run(first, UNSET_START, DAY[1], DAY[15])
     assert n == 3
     second = [order("P1", qty="6", up=DAY[2]), order("P3", up=DAY[3])]
     second.append(order("P9", created="", up=DAY[3]))
-    before = files_of("2024-01-03")
+    before = files_of("2024-02-01")
     got, n = run(first + second, UNSET_START, DAY[5], DAY[16])
-    assert files_of("2024-01-03") == before
+    assert files_of("2024-02-01") == before
     # The row without a date has no full key: it is added again, twice with the
     # row on the lower bound of the window, which counts as one with it.
     assert set(got) == {("P1", 6), ("P2", 5), ("P3", 5), ("P9", 5)} and n == 5

@@ -157,7 +157,7 @@ def test_partitions(spark, tmp_path):
     moved = part.withColumn("d", F.when(F.col("k") == "a", F.lit(days[3])).otherwise(F.col("d")))
     untouched = read_partitions(spark, path, schema, "d", days_of(spark, days[2])).inputFiles()
     seen = publish_partitions(moved.filter("k <> 'c'"), path, "d", touched, late=F.col("k") == "b")
-    assert seen.get == {"rows": 2, "late": 1}
+    assert seen == {"rows": 2, "late": 1, "before": 3}
     assert {(r.k, r.d) for r in stored().collect()} == {
         ("a", days[3]),
         ("b", days[1]),

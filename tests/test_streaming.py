@@ -1,5 +1,4 @@
-from martloom.plans.fulfilment import MART_SCHEMA
-from martloom.sources.mart import read_partitioned
+from martloom.plans.fulfilment import read_fulfilment
 from martloom.streaming.fulfilment import load_new_files
 from tests.test_fulfilment import DAY, STAGING, dims, order  # noqa: F401
 
@@ -14,7 +13,7 @@ def test_only_new_files_are_loaded(spark, dims, tmp_path):  # noqa: F811
         load_new_files(
             spark, folder, STAGING, str(tmp_path / "seen"), mart, *dims, clock=lambda: as_of
         )
-        stored = read_partitioned(spark, mart, MART_SCHEMA, "po_cre_dt").collect()
+        stored = read_fulfilment(spark, mart).collect()
         return sorted((r.po_nbr, r.po_order_qty, r.kortex_updt_ts) for r in stored)
 
     arrive(order("P0", up=None), order("P1"), order("P2"))
