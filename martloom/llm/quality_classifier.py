@@ -37,7 +37,9 @@ THRESHOLD = 0.3
 UNKNOWN = 0.5
 
 #: Words that a worker keeps at once.
-ENTRIES = 600_000
+ENTRIES = 400_000
+#: Letters that are cut into words at once.
+LETTERS = 2_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 DITTO = 0
 SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
@@ -79,13 +81,14 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The distinct buckets of a whole text, and the share of its features in each."""
     words = text.encode().split()
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.float32)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
     held = Counter(words)
     buckets, owners = gram_features([*held])
     pairs = pair_features(np.array([zlib.crc32(w) for w in words], np.uint64))
     weights = np.concatenate([np.array([*held.values()])[owners], np.ones(len(pairs), np.int64)])
     distinct, place = np.unique(np.concatenate([buckets, pairs]), return_inverse=True)
-    return distinct, (np.bincount(place, weights) / weights.sum()).astype(np.float32)
+    shares = (np.bincount(place, weights) / weights.sum()).astype(np.float32)
+    return distinct.astype(np.int32), shares
 
 
 def train(examples: list[tuple[str, int]], seed: int = 1) -> np.ndarray:
@@ -147,7 +150,17 @@ class Scorer:
         self.hashes = np.append(self.hashes, checks)
 
     def score_all(self, texts: list[str]) -> list[float]:
-        """Scores of the texts of one batch."""
+        """Scores of the texts, some at a time."""
+        out, some, letters = [], [], 0
+        for text in texts:
+            if some and letters + len(text) > LETTERS:
+                out += self.score_some(some)
+                some, letters = [], 0
+            some.append(text)
+            letters += len(text)
+        return out + self.score_some(some)
+
+    def score_some(self, texts: list[str]) -> list[float]:
         if len(self.numbers) > ENTRIES:
             self.clear()
         split = [text.encode().split() for text in texts]
