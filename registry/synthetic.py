@@ -31,12 +31,13 @@ LINES = [
     ("buyers", "b_key", "o_orderkey", "BIGINT", "", ""),
     ("buyers", "b_code", "o_orderkey", "CHAR", "9", ""),
 ]
-PRIORITY = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderpriority"))
 
 
 def _profile(spark, folder):
     """The orders' column profile: cardinality, rows and nulls, counted by Spark."""
-    orders = table(spark, folder, "orders").withColumn("priority", PRIORITY)
+    orders = table(spark, folder, "orders").withColumn(
+        "priority", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderpriority"))
+    )
     sources = sorted({source for _, _, source, *_ in LINES if source})
     counts = orders.agg(
         F.count(F.lit(1)).alias("rows"),
