@@ -11,6 +11,7 @@ from martloom.llm.common import documents
 from martloom.llm.exact_dedup import dedup_report, new_index
 from martloom.llm.jaccard_join import jaccard_components
 from martloom.llm.license_scan import scan_licenses
+from martloom.llm.oracles import JACCARD_SQL, license_sql
 from martloom.llm.packing import pack_documents
 from martloom.llm.quality_classifier import classify, fit, read_labels
 from martloom.llm.quality_rules import judge_documents
@@ -122,7 +123,7 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(spark, files)
 
 
-@query("op7_license_scan")
+@query("op7_license_scan", license_sql())
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(documents(spark, folder))
 
@@ -142,6 +143,6 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_report(documents(spark, folder), PIECES)
 
 
-@query("op8_jaccard_join")
+@query("op8_jaccard_join", JACCARD_SQL)
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))
