@@ -26,7 +26,8 @@ CUT = re.compile(r"(?<!\s)(?= )|(?= \S)")
 #: Characters on which two implementations may differ as to white space.
 ODD = re.compile("[\x1c-\x1f]")
 #: Plain words, alone or before a mark: the pattern gives each of the two in one piece.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)")
+MARKS = ".,;:!?"
+PLAIN = re.compile(f"([A-Za-zÀ-ÖØ-öø-ɏ]+)([{MARKS}]?)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,22 +46,49 @@ class Chunks(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.merge, self.split = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        self.packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        self.space = LETTERS[ord(" ")]
+        self.marks = {mark: self.letters(mark) for mark in MARKS} | {"": b""}
+        self.line_end = self.letters(LETTERS[ord("\n")])
 
     def letters(self, letters: str) -> bytes:
-        return b"".join(t.id.to_bytes(4, "little") for t in self.merge(letters))
+        """The ids of one piece of the pattern, given as byte letters."""
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.merge(letters)])
 
     def ids(self, chunk: str) -> bytes:
         return b"".join(self.letters(piece) for piece, _ in self.split(chunk))
 
-    def __missing__(self, chunk: str) -> bytes:
-        if plain := PLAIN.fullmatch(chunk):
-            word, mark = plain.groups()
+    def word(self, word: str) -> bytes:
+        if word.isascii():
+            return self.letters(word)
+        return self.letters(word.encode().decode("latin-1").translate(LETTERS))
+
+    def found(self, chunk: str) -> bytes:
+        """The ids of a space and the chunk, by the pattern's pieces where they are plain."""
+        if chunk.isascii() and chunk.isalpha():
+            return self.letters(self.space + chunk)
+        first, *lines = chunk.split("\n")
+        plain = PLAIN.fullmatch(first)
+        if not plain:
+            return self.ids(" " + chunk)
+        word, mark = plain.groups()
+        if not lines:
             if mark:
-                ids = self[word] + self.letters(mark)
-            else:
-                ids = self.letters((" " + word).encode().decode("latin-1").translate(LETTERS))
-        else:
-            ids = self.ids(" " + chunk)
+                return self[word] + self.marks[mark]
+            return self.letters(self.space + word.encode().decode("latin-1").translate(LETTERS))
+        # Single line ends between plain words: each is a piece, and so is what follows it.
+        out = [self[first]]
+        for line in lines:
+            plain = PLAIN.fullmatch(line)
+            if not plain:
+                return self.ids(" " + chunk)
+            word, mark = plain.groups()
+            out += [self.line_end, self.word(word), self.marks[mark]]
+        return b"".join(out)
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.found(chunk)
         if len(chunk) <= LONGEST:
             if len(self) >= ENTRIES:
                 self.clear()
