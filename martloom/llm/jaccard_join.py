@@ -15,9 +15,12 @@ share don't make long lists. Light sets that may link to heavy ones are in the l
 
 The boundary is where the subsets to enumerate outweigh the list entries to scan, as counted.
 
-Within a list no pairs of all members are made: all are held against one, components of the
-links found are built, and only members of different components are held against each other
-in later rounds, until no list has members of two components that were not compared.
+No pairs of all members of a list are made. Every list has a centre, the member with the most
+and longest lists, which among copies is the text they were made from. All members are first
+held against their centres, and components of the links found are built: linear work, which
+settles lists however long of true near copies. Members that are in another component than
+their centre are then compared with all members of its lists, in tiles of bounded size, each
+in one task, which gives only links between components.
 """
 
 from __future__ import annotations
@@ -33,7 +36,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from martloom.llm.common import own, unused, whole_text
 from martloom.session import write_stage
@@ -47,8 +49,12 @@ GROWTH = 1.5
 SPARE = 2
 #: The boundary between light and heavy sets is below this size.
 LARGEST_LIGHT = 40
+#: Members of a centre's lists on each side of a tile.
+TILE = 256
+#: Columns of a tile's matrix of shingles that are multiplied at once.
+STRIPE = 4096
 #: Words, and sets already seen, that a task keeps at once.
-ENTRIES = 500_000
+ENTRIES = 300_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -265,19 +271,28 @@ def postings(sets: DataFrame, boundary: int, share: tuple[int, int]) -> DataFram
     )
 
 
-def shared_lists(entries: DataFrame) -> DataFrame:
-    """The entries of signatures that two sets or more have, with the first set of each."""
+def memberships(entries: DataFrame) -> DataFrame:
+    """(centre, row): the sets that share a signature with others, under each list's centre.
+
+    Every two sets with a common signature are under one centre.
+    """
     several = write_stage(
         entries.groupBy("signature").agg(F.count("*").alias("length")).where("length > 1"),
         "shared-signatures",
     )
-    members = write_stage(
-        entries.join(several.select("signature"), "signature"), "shared-lists"
+    lists = write_stage(entries.join(several, "signature"), "lists")
+    weights = write_stage(lists.groupBy("row").agg(F.sum("length").alias("weight")), "weights")
+    best = F.max(F.struct("weight", (-F.col("row")).alias("row")))
+    centres = write_stage(
+        lists.join(weights, "row")
+        .groupBy("signature")
+        .agg(best.alias("best"))
+        .select("signature", (-F.col("best.row")).alias("centre")),
+        "centres",
     )
-    firsts = write_stage(
-        members.groupBy("signature").agg(F.min("row").alias("first")), "first-members"
+    return write_stage(
+        lists.join(centres, "signature").select("centre", "row").distinct(), "memberships"
     )
-    return write_stage(members.join(firsts, "signature"), "lists")
 
 
 # --- verification -----------------------------------------------------------------------
@@ -305,20 +320,24 @@ def whole_sets(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFra
     return write_stage(found.dropDuplicates(["digest"]), "whole-sets")
 
 
-def linked(pairs: DataFrame, nodes: DataFrame, whole: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Of pairs of rows (a, b), those whose sets link; ``nodes`` gives size and digest."""
+def sized(pairs: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs of rows (a, b) whose sizes allow a link, with sizes and digests, written."""
     part, of = share
     ends = nodes.select("row", "size", "digest")
-    sized = pairs
     for end in ("a", "b"):
-        sized = sized.join(
+        pairs = pairs.join(
             ends.withColumnsRenamed({"row": end, "size": f"size_{end}", "digest": f"digest_{end}"}),
             end,
         )
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    sized = write_stage(sized.where(of * least >= part * most), "sized-pairs")
-    equal = sized.where("digest_a = digest_b").select("a", "b")
-    held = sized.where("digest_a <> digest_b")
+    return write_stage(pairs.where(of * least >= part * most), "pairs")
+
+
+def linked(pairs: DataFrame, whole: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Of sized pairs those whose sets link."""
+    part, of = share
+    equal = pairs.where("digest_a = digest_b").select("a", "b")
+    held = pairs.where("digest_a <> digest_b")
     for end in ("a", "b"):
         held = held.join(
             whole.withColumnsRenamed({"digest": f"digest_{end}", "shingles": f"set_{end}"}),
@@ -335,87 +354,176 @@ def linked(pairs: DataFrame, nodes: DataFrame, whole: DataFrame, share: tuple[in
 def components(links: DataFrame, label: str = "component") -> DataFrame:
     """(node, component) of all nodes with links (a, b): the least node that can be reached.
 
-    Every node is tied to its least neighbour, alternately among its larger and its smaller
-    ones, until each component is a star; the rounds grow with the logarithm of its size.
+    In each round the ends of a link offer each other's label to themselves and to the node
+    that their own label names, and a label is replaced by that node's label. So trees are
+    hooked onto smaller ones and halved in height, and the rounds grow with the logarithm of
+    a component's size. Labels are written in each round; a node with very many links or
+    followers is one side of a join of written tables, which is split where it is skewed.
     """
     edges = write_stage(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("u <> v")
+        links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        .select(F.col("a").alias("u"), F.col("b").alias("v"))
         .distinct(),
         "edges",
     )
+    labels = write_stage(
+        edges.groupBy("u").agg(F.least(F.min("v"), "u").alias("label")).withColumnRenamed("u", "node"),
+        "labels",
+    )
+    before = label_sum(labels)
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = write_stage(both.groupBy("u").agg(F.min("v").alias("m")), "least")
-        least = least.withColumn("m", F.least("m", "u"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = write_stage(large.where("u <> v").distinct(), "large-star")
-        smallest = write_stage(large.groupBy("u").agg(F.min("v").alias("m")), "smallest")
-        small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        tied = smallest.select("u", F.col("m").alias("v"))
-        after = write_stage(small.unionByName(tied).where("u <> v").distinct(), "small-star")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
-            break
-        edges = after
-    return after.select(F.col("u").alias("node"), F.col("v").alias(label))
+        of_u = labels.select(F.col("node").alias("u"), F.col("label").alias("of_u"))
+        of_v = labels.select(F.col("node").alias("v"), F.col("label").alias("of_v"))
+        offers = edges.join(of_v, "v").join(of_u, "u")
+        offers = offers.select(
+            F.explode(
+                F.array(
+                    F.struct(F.col("u").alias("node"), F.col("of_v").alias("label")),
+                    F.struct(F.col("of_u").alias("node"), F.col("of_v").alias("label")),
+                )
+            ).alias("offer")
+        ).select("offer.*")
+        best = offers.unionByName(labels).groupBy("node").agg(F.min("label").alias("named"))
+        named = labels.select(F.col("node").alias("named"), F.col("label").alias("next"))
+        labels = write_stage(
+            best.join(named, "named").select("node", F.least("named", "next").alias("label")),
+            "labels",
+        )
+        after = label_sum(labels)
+        if after == before:
+            return labels.where("label < node").withColumnsRenamed({"label": label})
+        before = after
+
+
+def label_sum(labels: DataFrame) -> int:
+    """The sum of the labels, which only fall: equal when a round has changed nothing."""
+    return labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+
+
+# --- tiles ------------------------------------------------------------------------------
+
+
+def tiles(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(centre, kind, i, j, row, component): what must still be compared, tile by tile.
+
+    Far members, those of another component than their centre, meet each other and the near
+    ones; near ones are in one component. The rows made are members times tiles, not pairs.
+    """
+    at = found.withColumnRenamed("node", "row")
+    of_centre = at.withColumnsRenamed({"row": "centre", "component": "of_centre"})
+    placed = (
+        members.join(at, "row", "left")
+        .join(of_centre, "centre", "left")
+        .select(
+            "centre",
+            "row",
+            F.coalesce("component", "row").alias("component"),
+            F.coalesce("of_centre", "centre").alias("of_centre"),
+        )
+        .withColumn("far", F.col("component") != F.col("of_centre"))
+    )
+    placed = write_stage(placed.drop("of_centre"), "placed-members")
+    blocks = placed.groupBy("centre").agg(
+        F.ceil(F.count_if("far") / TILE).cast("int").alias("far_blocks"),
+        F.ceil(F.count_if(~F.col("far")) / TILE).cast("int").alias("near_blocks"),
+        F.count("*").alias("members"),
+    )
+    # Two members are a centre and one that was compared with it.
+    blocks = write_stage(
+        blocks.where("far_blocks > 0 AND members > 2").drop("members"), "open-centres"
+    )
+    blocked = placed.join(blocks, "centre").withColumn(
+        "block",
+        F.pmod(
+            F.xxhash64("row"), F.when(F.col("far"), F.col("far_blocks")).otherwise(F.col("near_blocks"))
+        ).cast("int"),
+    )
+
+    def each(count: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(count) - 1), make)
+
+    def tile(kind: str, i, j) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+
+    block = F.col("block")
+    among_far = each("far_blocks", lambda k: tile("far", F.least(k, block), F.greatest(k, block)))
+    to_near = F.when(
+        F.col("near_blocks") > 0, each("near_blocks", lambda k: tile("near", block, k))
+    ).otherwise(F.expr("cast(array() AS array<struct<kind:string,i:int,j:int>>)"))
+    to_far = each("far_blocks", lambda k: tile("near", k, block))
+    wanted = F.when(F.col("far"), F.concat(among_far, to_near)).otherwise(to_far)
+    return blocked.select("centre", "row", "component", F.explode(wanted).alias("tile")).select(
+        "centre", "tile.*", "row", "component"
+    )
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets have in common, as a matrix."""
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held[column] > 1
+    of, column = of[shared], np.unique(column[shared], return_inverse=True)[1]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, STRIPE):
+        a, b = np.searchsorted(column, [first, first + STRIPE])
+        stripe = np.zeros((len(sets), STRIPE), np.float32)
+        stripe[of[a:b], column[a:b] - first] = 1
+        out += stripe @ stripe.T
+    return out
+
+
+def tile_links(table: pa.Table, share: tuple[int, int]) -> pa.Table:
+    """Links of a tile that join components: one for each two that it brings together."""
+    part, of = share
+    rows, label = table["row"].to_numpy(), table["component"].to_numpy()
+    sets = [s.values.to_numpy() for s in table["shingles"].combine_chunks()]
+    sizes = np.array([len(s) for s in sets])
+    common = common_counts(sets)
+    union = sizes[:, None] + sizes[None, :] - common
+    link = (of * common >= part * union) & (label[:, None] != label[None, :])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(np.triu(link, 1)).tolist():
+        a, b = find(int(label[i])), find(int(label[j]))
+        if a != b:
+            root[a] = b
+            out.append((int(rows[i]), int(rows[j])))
+    a, b = zip(*out, strict=True) if out else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def find_components(
     docs: DataFrame, sets: DataFrame, key: str, text: str, share: tuple[int, int]
 ) -> DataFrame:
     """(node, component) over the rows of ``sets`` that carry signatures and have links."""
-    lists = shared_lists(postings(sets, choose_boundary(sets, share), share))
+    members = memberships(postings(sets, choose_boundary(sets, share), share))
     nodes = write_stage(
         sets.where(F.col("lists").isNotNull())
-        .join(lists.select("row").distinct(), "row", "left_semi")
+        .join(members.select("row").distinct(), "row", "left_semi")
         .select("row", "key", "text_key", "size", "digest"),
         "nodes",
     )
     whole = whole_sets(docs, nodes.select("key", "text_key"), key, text)
-    tried = write_stage(
-        lists.where("row > first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct(),
-        "pairs",
-    )
-    links = write_stage(linked(tried, nodes, whole, share), "links")
+    spokes = members.where("row <> centre").select(F.col("centre").alias("a"), F.col("row").alias("b"))
+    links = write_stage(linked(sized(spokes, nodes, share), whole, share), "links")
     found = components(links)
-    compared = 1
-    while True:
-        # Members by their components; lists of one component are settled.
-        at = lists.join(found.withColumnRenamed("node", "row"), "row", "left").select(
-            "signature", "row", F.coalesce("component", "row").alias("component")
-        )
-        mixed_lists = at.groupBy("signature").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-        )
-        # A list of n members is done when n - 1 of them were compared with all later ones.
-        mixed_lists = mixed_lists.where((F.col("low") < F.col("high")) & (F.col("n") > compared + 1))
-        open_lists = write_stage(
-            at.join(mixed_lists.select("signature"), "signature"), "open-lists"
-        )
-        if open_lists.isEmpty():
-            return found
-        place = F.row_number().over(Window.partitionBy("signature").orderBy("row")) - 1
-        ranked = write_stage(open_lists.withColumn("place", place), "ranked-lists")
-        until = compared * 4
-        heads = ranked.where(F.col("place").between(compared, until - 1)).select(
-            "signature",
-            F.col("row").alias("a"),
-            F.col("place").alias("head"),
-            F.col("component").alias("head_component"),
-        )
-        pairs = (
-            ranked.join(heads, "signature")
-            .where((F.col("place") > F.col("head")) & (F.col("component") != F.col("head_component")))
-            .select("a", F.col("row").alias("b"))
-            .distinct()
-            .join(tried, ["a", "b"], "left_anti")
-        )
-        pairs = write_stage(pairs, "more-pairs")
-        fresh = write_stage(linked(pairs, nodes, whole, share), "more-links")
-        tried, compared = tried.unionByName(pairs), until
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            found = components(links)
+    shingled = nodes.select("row", "digest").join(whole, "digest").select("row", "shingles")
+    more = write_stage(
+        tiles(members, found)
+        .join(shingled, "row")
+        .groupBy("centre", "kind", "i", "j")
+        .applyInArrow(lambda table: tile_links(table, share), "a long, b long"),
+        "tile-links",
+    )
+    return found if more.isEmpty() else components(links.unionByName(more))
 
 
 def classes(
