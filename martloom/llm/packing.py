@@ -1,17 +1,25 @@
 """Lexical retrieval packing: windows filled with documents that a BM25 index finds alike.
 
-Documents are dealt out at random to shards of bounded size, and each shard has an inverted
-index of its token ids, with BM25 weights from the shard's own counts, as in a sharded search
-service. A window begins with a seed document. Its strongest terms are looked up, and the
-unused neighbours of highest score fill the window; the one that doesn't fit is cut, and its
-rest is the seed of the next window. So windows are full, and only a shard's last ids are
-left over; they are cut at powers of two, which need no padding either.
+How many documents hold a token id, and how long documents are, is counted over the whole
+corpus, and a document's strongest terms follow from it. Documents are placed by content: each
+has a path, its strongest terms with those first that are strongest in many documents, and in
+the order of paths they are cut into shards of bounded size. So documents that share strong
+terms lie in one shard or in one beside it, however large the corpus. A common path is cut by
+row number like any other stretch.
+
+Each shard has an inverted index of its token ids, with BM25 weights from the corpus's counts.
+A window begins with a seed document. All its terms are looked up, and the unused neighbours of
+highest score fill the window; the one that doesn't fit is cut, and its rest is the seed of the
+next window. So windows are full, and only a shard's last ids are left over; they are cut at
+powers of two, which need no padding either.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,69 +28,90 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import own, whole_text
 from martloom.llm.token_ids import encoder
+from martloom.session import scratch_folder, write_stage
 
 WINDOW = 1024
-SHARD_DOCUMENTS = 512
-#: A query takes so many of a seed's terms, those of the highest weight.
-QUERY_TERMS = 24
+SHARD_DOCUMENTS = 2048
+#: A document is placed by the terms of at least this share of its highest weight, and at most
+#: so many of them.
+PLACE_SHARE, PLACE_TERMS = 0.6, 48
+#: Shards that a task cuts from the ordered paths.
+SHARDS_A_TASK = 16
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
 
 
+class Corpus:
+    """Counts over all documents: how many there are and hold each term, and their mean length."""
+
+    def __init__(self, n: int, tokens: int, held: np.ndarray):
+        self.n, self.mean, self.held = n, tokens / max(n, 1), held
+        self.idf = np.log1p((n - held + 0.5) / (held + 0.5))
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray, lengths) -> np.ndarray:
+        """BM25 weights of terms that occur ``counts`` times in documents of ``lengths``."""
+        damping = K1 * (1 - B + B * lengths / self.mean)
+        return self.idf[terms] * counts * (K1 + 1) / (counts + damping)
+
+    def strongest(self, ids: np.ndarray) -> np.ndarray:
+        """The terms of the highest weight, without those that no other document has."""
+        terms, counts = bag(ids)
+        shared = self.held[terms] > 1
+        terms, counts = terms[shared], counts[shared]
+        weights = self.weights(terms, counts, len(ids))
+        high = weights >= PLACE_SHARE * weights.max(initial=0)
+        return terms[high][np.argsort(-weights[high], kind="stable")[:PLACE_TERMS]]
+
+
+def bag(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and how often each occurs."""
+    small = ids.astype(np.uint16) if ids.max() < 1 << 16 else ids
+    ordered = np.sort(small, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[first].astype(np.int64), np.diff(np.append(first, len(ids)))
+
+
 class Index:
-    """Inverted lists of a shard's documents, with the BM25 weight of each posting."""
+    """Inverted lists of a shard's documents, with the BM25 weight of each posting.
+
+    Without a corpus, the documents are the corpus.
+    """
 
-    def __init__(self, ids: list[np.ndarray]):
+    def __init__(self, ids: list[np.ndarray], corpus: Corpus | None = None):
         n = len(ids)
         lengths = np.array([len(x) for x in ids])
-        bags = [self.bag(x) for x in ids]
+        bags = [bag(x) for x in ids]
         sizes = [len(terms) for terms, _ in bags]
         terms = np.concatenate([t for t, _ in bags])
         counts = np.concatenate([c for _, c in bags]).astype(np.float64)
         docs = np.repeat(np.arange(n), sizes)
         held = np.bincount(terms)
-        idf = np.log1p((n - held + 0.5) / (held + 0.5))
-        damping = K1 * (1 - B + B * lengths / lengths.mean())
-        weights = idf[terms] * counts * (K1 + 1) / (counts + damping[docs])
+        corpus = corpus or Corpus(n, int(lengths.sum()), held)
+        weights = corpus.weights(terms, counts, lengths[docs])
         order = np.argsort(terms, kind="stable")
         self.docs, self.weights, self.n = docs[order], weights[order], n
         self.begin = np.concatenate([[0], np.cumsum(held)])
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        self.queries = [
-            self.strongest(terms[a:b], weights[a:b], held)
-            for a, b in zip(bounds, bounds[1:], strict=False)
-        ]
-
-    @staticmethod
-    def bag(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        small = ids.astype(np.uint16) if ids.max() < 1 << 16 else ids
-        ordered = np.sort(small, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        return ordered[first].astype(np.int64), np.diff(np.append(first, len(ids)))
-
-    @staticmethod
-    def strongest(terms: np.ndarray, weights: np.ndarray, held: np.ndarray) -> np.ndarray:
-        shared = held[terms] > 1  # a term of one document finds only itself
-        terms, weights = terms[shared], weights[shared]
-        if len(terms) <= QUERY_TERMS:
-            return terms
-        return terms[np.argsort(-weights, kind="stable")[:QUERY_TERMS]]
+        # All terms are asked for, but those of one document, which find only itself.
+        self.queries = [t[held[t] > 1] for t, _ in bags]
 
     def scores(self, doc: int) -> np.ndarray:
-        out = np.zeros(self.n)
-        for term in self.queries[doc]:
-            a, b = self.begin[term], self.begin[term + 1]
-            out[self.docs[a:b]] += self.weights[a:b]
-        return out
+        terms = self.queries[doc]
+        if not len(terms):
+            return np.zeros(self.n)
+        lists = [slice(a, b) for a, b in zip(self.begin[terms], self.begin[terms + 1], strict=True)]
+        docs = np.concatenate([self.docs[x] for x in lists])
+        return np.bincount(docs, np.concatenate([self.weights[x] for x in lists]), self.n)
 
 
-def chained(ids: list[np.ndarray], window: int = WINDOW) -> list[int]:
+def chained(
+    ids: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None
+) -> list[int]:
     """The order in which a shard's documents fill its windows, one after the other.
 
     Each document is the best unused neighbour of the seed of the window it begins in; ties,
     and windows whose seed has no neighbour left, go to the first document.
     """
-    index, unused = Index(ids), np.ones(len(ids), bool)
+    index, unused = Index(ids, corpus), np.ones(len(ids), bool)
     order, filled, scores = [], 0, np.zeros(len(ids))
     for _ in ids:
         doc = int(np.argmax(np.where(unused, scores, -1.0)))
@@ -103,15 +132,156 @@ def windows(total: int, window: int = WINDOW) -> list[int]:
     ]
 
 
-def packer(path: str, end: int, window: int) -> Callable[[pa.Table], pa.Table]:
-    def pack(table: pa.Table) -> pa.Table:
+def as_binary(values: list[bytes | None]) -> pa.Array:
+    return pa.array(values, pa.binary())
+
+
+def encoding(path: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
+    """Ids of each document, and at the end of a task its counts: documents, ids, and holders."""
+
+    def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = encoder(path), end.to_bytes(4, "little")
-        table = table.sort_by([("key", "ascending"), ("text", "ascending")])
-        ids = [np.frombuffer(encode(t) + last, "<u4") for t in table["text"].to_pylist()]
+        terms = max(encode.tokenizer.get_vocab_size(), end + 1)
+        counts, key = np.zeros(2 + terms, "<i8"), None
+        kind = "<u2" if terms <= 1 << 16 else "<u4"
+        for batch in batches:
+            out, key = [], batch["key"]
+            for text in batch["text"].to_pylist():
+                ids = np.frombuffer(encode(text) + last, "<u4").astype(kind)
+                counts[:2] += 1, len(ids)
+                counts[2 + bag(ids)[0]] += 1
+                out.append(ids.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [key, batch["row"], as_binary(out), as_binary([None] * len(out))], ENCODED
+            )
+        if key is not None:
+            none = pa.nulls(1, key.type)
+            row = pa.array([None], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, row, as_binary([None]), as_binary([counts.tobytes()])], ENCODED
+            )
+
+    return encode_all
+
+
+ENCODED = ["key", "row", "ids", "counts"]
+
+
+def ids_kind(corpus: Corpus) -> str:
+    return "<u2" if len(corpus.held) <= 1 << 16 else "<u4"
+
+
+def summed(df: DataFrame, arrays: Callable[[pa.RecordBatch], np.ndarray]) -> dict[int, int]:
+    """Arrays of counts, one from each batch, added by place; as many rows as terms at most."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                counts = arrays(batch)
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["at", "n"]
+                )
+
+    sums = df.mapInArrow(spread, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    return {r["at"]: r["n"] for r in sums.collect()}
+
+
+def count_corpus(encoded: DataFrame, path: str, end: int) -> Corpus:
+    def added(batch: pa.RecordBatch) -> np.ndarray:
+        return sum(np.frombuffer(x, "<i8") for x in batch["counts"].to_pylist())
+
+    sums = summed(encoded.where("counts IS NOT NULL").select("counts"), added)
+    held = np.zeros(max(encoder(path).tokenizer.get_vocab_size(), end + 1), np.int64)
+    for at, n in sums.items():
+        if at >= 2:
+            held[at - 2] = n
+    return Corpus(sums.get(0, 0), sums.get(1, 0), held)
+
+
+def place(strong: np.ndarray, rank: np.ndarray, row: int) -> bytes:
+    """A path and a row number, as bytes in the order of paths, then rows."""
+    return np.sort(rank[strong]).astype(">u4").tobytes() + row.to_bytes(8, "big")
+
+
+def shard_starts(
+    documents: DataFrame, corpus: Corpus, shard_documents: int
+) -> tuple[np.ndarray, list[bytes]]:
+    """The rank of each term in paths, and the place at which each shard begins."""
+    kind = ids_kind(corpus)
+
+    def strong(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [corpus.strongest(np.frombuffer(x, kind)) for x in batch["ids"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["row"], as_binary([x.astype("<u4").tobytes() for x in found])],
+                ["row", "strong"],
+            )
+
+    terms = write_stage(
+        documents.select("row", "ids").mapInArrow(strong, "row long, strong binary"), "strong-terms"
+    )
+
+    def uses(batch: pa.RecordBatch) -> np.ndarray:
+        return np.bincount(np.frombuffer(b"".join(batch["strong"].to_pylist()), "<u4"))
+
+    count = np.zeros(len(corpus.held), np.int64)
+    for at, n in summed(terms.select("strong"), uses).items():
+        count[at] = n
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch["strong"].to_pylist(), batch["row"].to_pylist(), strict=True)
+            places = [place(np.frombuffer(x, "<u4"), rank, row) for x, row in rows]
+            yield pa.RecordBatch.from_arrays([as_binary(places)], ["place"])
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            first = -seen % shard_documents
+            seen += batch.num_rows
+            at = pa.array(range(first, batch.num_rows, shard_documents), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["place"].take(at)], ["place"])
+
+    tasks = max(1, -(-corpus.n // (shard_documents * SHARDS_A_TASK)))
+    starts = (
+        terms.mapInArrow(placed, "place binary")
+        .repartitionByRange(tasks, "place")
+        .sortWithinPartitions("place")
+        .mapInArrow(begun, "place binary")
+        .collect()
+    )
+    return rank, sorted(bytes(r["place"]) for r in starts)
+
+
+def dealt(corpus: Corpus, rank: np.ndarray, starts: list[bytes]) -> Callable:
+    """The shard of each document, by its place."""
+    kind = ids_kind(corpus)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch["ids"].to_pylist(), batch["row"].to_pylist(), strict=True)
+            places = [place(corpus.strongest(np.frombuffer(x, kind)), rank, row) for x, row in rows]
+            shards = [bisect_right(starts, x) - 1 for x in places]
+            yield pa.RecordBatch.from_arrays(
+                [batch["key"], batch["ids"], pa.array(shards, pa.int64())], ["key", "ids", "shard"]
+            )
+
+    return deal
+
+
+def packer(corpus: Corpus, window: int) -> Callable[[pa.Table], pa.Table]:
+    kind = ids_kind(corpus)
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("ids", "ascending")])
+        ids = [np.frombuffer(x, kind).astype("<u4") for x in table["ids"].to_pylist()]
         shard, rows = table["shard"][0].as_py(), []
         lengths = windows(sum(map(len, ids)), window)
         sequence, room = 0, lengths[0]
-        for doc in chained(ids, window):
+        for doc in chained(ids, window, corpus):
             start, held = 0, ids[doc]
             while start < len(held):
                 if not room:
@@ -143,19 +313,26 @@ def pack_documents(
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its ids and ``end``; a null or empty text is ``end`` alone. Every id lies in
-    one piece. Rows, equal ones too, are dealt to shards by their place in the input, so that
-    no key or text can fill one. A null key is kept as null. No rows give no pieces. The number
-    of shards follows the number of rows; a shard, and so a task, stays as large as before.
+    one piece. Rows are dealt to shards by their strongest terms, equal ones by their place in
+    the input, so that no key or text can fill one. A null key is kept as null. No rows give no
+    pieces. The number of shards follows the number of rows; a shard, and so a task, stays as
+    large as before.
     """
-    shards = max(1, -(-docs.count() // shard_documents))
-    rows = docs.select(
+    spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
+    folder = f"{scratch_folder(spark)}/token-ids-{uuid.uuid4().hex}"
+    fresh = docs.select(
         own(docs, key).alias("key"),
         whole_text(own(docs, text)).alias("text"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"),
-    )
-    kind = docs.schema[key].dataType.simpleString()
-    return rows.groupBy("shard").applyInArrow(
-        packer(path, end, window),
+        F.monotonically_increasing_id().alias("row"),
+    ).mapInArrow(encoding(path, end), f"key {kind}, row long, ids binary, counts binary")
+    fresh.write.option("compression", "zstd").parquet(folder)
+    encoded = spark.read.schema(fresh.schema).parquet(folder)
+    corpus = count_corpus(encoded, path, end)
+    rows = encoded.where("counts IS NULL").select("key", "row", "ids")
+    rank, starts = shard_starts(rows, corpus, shard_documents)
+    shards = rows.mapInArrow(dealt(corpus, rank, starts), f"key {kind}, ids binary, shard long")
+    return shards.groupBy("shard").applyInArrow(
+        packer(corpus, window),
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long",
     )

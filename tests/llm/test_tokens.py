@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from martloom.llm import token_files
-from martloom.llm.packing import Index, chained, pack_documents, windows
+from martloom.llm.packing import Corpus, Index, chained, pack_documents, windows
 from martloom.llm.token_ids import TextEncoder
 from tests.llm.odd import ROWS, no_documents, odd_documents, prose, table
 
@@ -134,3 +134,34 @@ def test_neighbours_of_one_subject_share_windows():
 def test_rest_is_cut_at_powers_of_two():
     assert windows(2048 + 700) == [1024, 1024, 512, 128, 32, 16, 8, 4]
     assert windows(1024) == [1024] and windows(0) == []
+
+
+def test_scores_by_counts_of_the_corpus_and_all_terms():
+    draw = np.random.default_rng(3)
+    ids = [draw.integers(0, 90, draw.integers(30, 90)).astype(np.uint32) for _ in range(40)]
+    held = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=90)
+    whole, part = Index(ids), Index(ids[:9], Corpus(40, sum(map(len, ids)), held))
+    for doc in range(9):
+        terms = set(ids[doc].tolist())
+        others = set(np.concatenate(ids[:doc] + ids[doc + 1 : 9]).tolist())
+        assert set(part.queries[doc].tolist()) == terms & others
+        want = bm25(part.queries[doc].tolist(), [d.tolist() for d in ids])
+        assert np.allclose(part.scores(doc), want[:9])
+        assert set(whole.queries[doc].tolist()) <= terms
+
+
+def test_documents_of_one_subject_share_shards(spark):
+    """With many shards, a document's neighbours are in its own, wherever their rows are."""
+    draw, rows = random.Random(4), []
+    vocabulary = sorted(Tokenizer.from_file(BYTE_BPE).get_vocab())
+    words = [w[1:] for w in vocabulary if w[0] == "Ġ" and len(w) > 5 and w[1:].isascii()]
+    words = draw.sample([w for w in words if w.isalpha()], 640)
+    names, words = [words[6 * i : 6 * i + 6] for i in range(40)], words[240:]
+    for i in range(320):
+        rows.append((i, " ".join(draw.choices(words, k=60) + draw.choices(names[i % 40], k=30))))
+    found = pack_documents(table(spark, rows), BYTE_BPE, shard_documents=16).collect()
+    shard = {r.doc_id: r.sequence_id >> 32 for r in found}
+    sizes = collections.Counter(shard.values())
+    assert len(sizes) >= 20 and max(sizes.values()) <= 16
+    mates = [sum(shard[j] == shard[i] for j in range(i % 40, 320, 40)) - 1 for i in range(320)]
+    assert sum(m >= 2 for m in mates) >= 240  # of seven; by chance a third of one
