@@ -17,6 +17,8 @@ from martloom.session import scratch_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 END_OF_DOCUMENT = 0
+#: Near copies have four fifths of their shingles of five words in common.
+NEAR_WORDS, NEAR_SHARE = 5, (80, 100)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of the Jaccard join lead to, the one with the smallest id."""
-    return jaccard_join.keep_one_of_each(docs)
+    return jaccard_join.keep_one_of_each(docs, share=NEAR_SHARE, n_words=NEAR_WORDS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from martloom.llm.common import own, unused, whole_text
 from martloom.session import write_stage
 
+#: Words of a shingle, if a caller doesn't say otherwise.
 SHINGLE_WORDS = 3
 #: The share as a fraction.
 SHARE = (90, 100)
@@ -76,7 +77,7 @@ class Words(dict):
         return found
 
 
-def shingle_set(text: str, words: Words) -> np.ndarray:
+def shingle_set(text: str, words: Words, n_words: int = SHINGLE_WORDS) -> np.ndarray:
     """The distinct shingles of a whole text as sorted 64-bit hashes.
 
     A-Z count as a-z, and words are cut at ASCII white space. With fewer words than a shingle
@@ -86,7 +87,7 @@ def shingle_set(text: str, words: Words) -> np.ndarray:
     if not split:
         return np.zeros(0, np.uint64)
     hashes = np.fromiter(map(words.__getitem__, split), np.uint64, len(split))
-    length = min(SHINGLE_WORDS, len(split))
+    length = min(n_words, len(split))
     out = np.full(len(split) - length + 1, length, np.uint64)
     for i in range(length):
         out = mixed(out * MIX + hashes[i : len(split) - length + 1 + i])
@@ -171,7 +172,9 @@ def as_longs(arrays: list) -> pa.Array:
     )
 
 
-def summarised(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator:
+def summarised(
+    batches: Iterator[pa.RecordBatch], share: tuple[int, int], n_words: int
+) -> Iterator:
     """Size, digest, list signatures and, of small sets, the shingles.
 
     Of equal sets that a task meets, the first carries signatures: a hot text costs one set of
@@ -181,7 +184,7 @@ def summarised(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Ite
     for batch in batches:
         sizes, digests, lists, small = [], [], [], []
         for text in batch["text"].to_pylist():
-            shingles = shingle_set(text, words)
+            shingles = shingle_set(text, words, n_words)
             digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
             sizes.append(len(shingles))
             digests.append(digest)
@@ -204,7 +207,9 @@ def summarised(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Ite
         )
 
 
-def set_table(docs: DataFrame, key: str, text: str, share: tuple[int, int]) -> DataFrame:
+def set_table(
+    docs: DataFrame, key: str, text: str, share: tuple[int, int], n_words: int = SHINGLE_WORDS
+) -> DataFrame:
     content = whole_text(own(docs, text))
     kind = docs.schema[key].dataType.simpleString()
     return write_stage(
@@ -214,7 +219,7 @@ def set_table(docs: DataFrame, key: str, text: str, share: tuple[int, int]) -> D
             content.alias("text"),
         )
         .mapInArrow(
-            lambda batches: summarised(batches, share),
+            lambda batches: summarised(batches, share, n_words),
             f"key {kind}, text_key long, size long, digest binary, lists array<long>, "
             "small array<long>",
         )
@@ -298,17 +303,19 @@ def memberships(entries: DataFrame) -> DataFrame:
 # --- verification -----------------------------------------------------------------------
 
 
-def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tokenised(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
     words = Words()
     for batch in batches:
-        found = [shingle_set(text, words) for text in batch["text"].to_pylist()]
+        found = [shingle_set(text, words, n_words) for text in batch["text"].to_pylist()]
         digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
         yield pa.RecordBatch.from_arrays(
             [pa.array(digests, pa.binary()), as_longs(found)], ["digest", "shingles"]
         )
 
 
-def whole_sets(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
+def whole_sets(
+    docs: DataFrame, rows: DataFrame, key: str, text: str, n_words: int = SHINGLE_WORDS
+) -> DataFrame:
     """(digest, shingles) of the sets in ``rows`` (key, text_key), from their texts again."""
     content = whole_text(own(docs, text))
     texts = docs.select(
@@ -316,7 +323,9 @@ def whole_sets(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFra
     )
     same = texts["key"].eqNullSafe(rows["key"]) & (texts["text_key"] == rows["text_key"])
     wanted = texts.join(rows, same, "left_semi").select("text")
-    found = wanted.mapInArrow(tokenised, "digest binary, shingles array<long>")
+    found = wanted.mapInArrow(
+        lambda batches: tokenised(batches, n_words), "digest binary, shingles array<long>"
+    )
     return write_stage(found.dropDuplicates(["digest"]), "whole-sets")
 
 
@@ -501,7 +510,12 @@ def tile_links(table: pa.Table, share: tuple[int, int]) -> pa.Table:
 
 
 def find_components(
-    docs: DataFrame, sets: DataFrame, key: str, text: str, share: tuple[int, int]
+    docs: DataFrame,
+    sets: DataFrame,
+    key: str,
+    text: str,
+    share: tuple[int, int],
+    n_words: int = SHINGLE_WORDS,
 ) -> DataFrame:
     """(node, component) over the rows of ``sets`` that carry signatures and have links."""
     members = memberships(postings(sets, choose_boundary(sets, share), share))
@@ -511,7 +525,7 @@ def find_components(
         .select("row", "key", "text_key", "size", "digest"),
         "nodes",
     )
-    whole = whole_sets(docs, nodes.select("key", "text_key"), key, text)
+    whole = whole_sets(docs, nodes.select("key", "text_key"), key, text, n_words)
     spokes = members.where("row <> centre").select(F.col("centre").alias("a"), F.col("row").alias("b"))
     links = write_stage(linked(sized(spokes, nodes, share), whole, share), "links")
     found = components(links)
@@ -527,14 +541,14 @@ def find_components(
 
 
 def classes(
-    docs: DataFrame, key: str, text: str, share: tuple[int, int]
+    docs: DataFrame, key: str, text: str, share: tuple[int, int], n_words: int = SHINGLE_WORDS
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with the label of their component, and the first of each label.
 
     Rows of empty sets have no label.
     """
-    sets = set_table(docs, key, text, share)
-    found = find_components(docs, sets, key, text, share)
+    sets = set_table(docs, key, text, share, n_words)
+    found = find_components(docs, sets, key, text, share, n_words)
     labels = write_stage(
         sets.where(F.col("lists").isNotNull())
         .select("row", "digest")
@@ -556,7 +570,11 @@ def classes(
 
 
 def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", share: tuple[int, int] = SHARE
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    share: tuple[int, int] = SHARE,
+    n_words: int = SHINGLE_WORDS,
 ) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id.
 
@@ -565,7 +583,7 @@ def jaccard_components(
     empty sets and link with nothing. Equal texts link, and repeated rows get equal results.
     Other columns are not looked at; no rows give no rows.
     """
-    rows, firsts = classes(docs, key, text, share)
+    rows, firsts = classes(docs, key, text, share, n_words)
     return rows.join(firsts, "label", "left").select(
         F.col("key").alias(key),
         F.col("size").alias("n_shingles"),
@@ -580,13 +598,17 @@ def has_words(text: Column) -> Column:
 
 
 def keep_one_of_each(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", share: tuple[int, int] = SHARE
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    share: tuple[int, int] = SHARE,
+    n_words: int = SHINGLE_WORDS,
 ) -> DataFrame:
     """Of each component the document with the smallest key, with all columns.
 
     Rows without words link with nothing, so all of them stay.
     """
-    _, firsts = classes(docs, key, text, share)
+    _, firsts = classes(docs, key, text, share, n_words)
     chosen = firsts.select("first.key", "first.text_key")
     content, text_key = whole_text(own(docs, text)), unused(docs, "text_key")
     wide = docs.where(has_words(content)).withColumn(text_key, F.xxhash64(content))

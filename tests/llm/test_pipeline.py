@@ -1,3 +1,5 @@
+import itertools
+
 import pytest
 
 import corpus_pipeline
@@ -67,3 +69,31 @@ def test_second_run_of_dedup_stages_changes_nothing(spark):
     assert exact_dedup.keep_first(once, exact_dedup.new_index(once)).count() == once.count()
     once = jaccard_join.keep_one_of_each(once)
     assert jaccard_join.keep_one_of_each(once).count() == once.count()
+
+
+def test_near_copies_of_five_words_and_four_fifths(spark):
+    """15% of a text appended, and 2% of its words replaced: both go."""
+    words = [f"w{i}" for i in range(300)]
+    swapped = [f"x{i}" if i % 50 == 25 else w for i, w in enumerate(words)]
+    rows = [
+        (1, " ".join(words)),
+        (2, " ".join(words + [f"t{i}" for i in range(45)])),
+        (3, " ".join(swapped)),
+        (4, " ".join(f"o{i}" for i in range(300))),
+        (5, " ".join(words + [f"u{i}" for i in range(90)])),
+    ]
+    kept = corpus_pipeline.near(spark, odd_documents(spark, rows), FOLDER).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 4, 5]
+
+
+def test_near_copies_by_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r.doc_id, r.text.encode().lower().split()) for r in docs.collect()]
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for k, w in rows if w}
+    label = {k: k for k, _ in rows}
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((label[a], label[b]))
+            label |= {k: low for k, v in label.items() if v == high}
+    kept = corpus_pipeline.near(spark, docs, FOLDER).select("doc_id").collect()
+    assert {r.doc_id for r in kept} == {k for k in label if label[k] == k}
