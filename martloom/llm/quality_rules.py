@@ -2,7 +2,8 @@
 
 A text that repeats itself shrinks more than prose of its length, and one of random letters
 less. The zstandard ratio of the whole text, and of each chunk of fixed size, is held against
-limits that depend on the length: short texts shrink little, long ones more.
+limits that depend on the length: short texts shrink little, long ones more. Scripts of two or
+three bytes a letter shrink more for that alone, so the upper limit is one of bytes a code point.
 """
 
 from __future__ import annotations
@@ -23,24 +24,26 @@ CHUNK_BYTES = 4096
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
-#: From so many bytes on: the least and the greatest ratio that prose has.
+#: From so many bytes on: the least ratio that prose has, and the greatest for a text of one byte
+#: a code point.
 BANDS = [
     (0, 0.0, 3.0),
-    (256, 1.2, 2.2),
-    (1024, 1.45, 2.4),
-    (4096, 1.75, 2.6),
-    (16384, 1.9, 2.8),
-    (65536, 1.95, 3.3),
-    (1048576, 2.0, 4.0),
+    (256, 1.2, 2.6),
+    (1024, 1.45, 2.9),
+    (4096, 1.75, 3.3),
+    (16384, 1.9, 3.6),
+    (65536, 1.95, 3.9),
+    (1048576, 2.0, 4.5),
 ]
 STARTS = [start for start, _, _ in BANDS]
 #: Of the chunks of a text, this share may lie outside their band.
 ODD_CHUNKS = 0.25
 
 
-def fits(raw: int, packed: int) -> bool:
-    _, least, most = BANDS[bisect_right(STARTS, raw) - 1]
-    return least <= raw / packed <= most
+def fits(data: bytes, packed: int) -> bool:
+    _, least, most = BANDS[bisect_right(STARTS, len(data)) - 1]
+    points = max(1, len(data.decode(errors="ignore")))  # a chunk may begin inside of one
+    return least * packed <= len(data) and points <= most * packed
 
 
 class Bands:
@@ -61,7 +64,7 @@ class Bands:
         """
         if not data:
             return True
-        if not fits(len(data), len(self.compress(data))):
+        if not fits(data, len(self.compress(data))):
             return False
         count = max(1, (len(data) + CHUNK_BYTES // 2) // CHUNK_BYTES)
         if count == 1:
@@ -69,7 +72,7 @@ class Bands:
         edges = [*range(0, count * CHUNK_BYTES, CHUNK_BYTES), len(data)]
         odd = 0
         for a, b in zip(edges, edges[1:], strict=False):
-            odd += not fits(b - a, len(self.compress(data[a:b])))
+            odd += not fits(data[a:b], len(self.compress(data[a:b])))
         return odd <= ODD_CHUNKS * count
 
 

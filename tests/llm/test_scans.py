@@ -1,4 +1,5 @@
 import hashlib
+import pathlib
 import random
 import re
 import secrets as random_secrets
@@ -192,3 +193,29 @@ PARAGRAPH = (
     "swell had lengthened, gulls were flying inland, and he asked quietly for the hatches to be "
     "closed. Later, people would say that his small request had saved them all. "
 )
+
+
+def test_bands_accept_other_scripts_and_long_formal_prose():
+    """Prose of two and three bytes a letter, of two lengths, and a licence of 17 KB."""
+    bands, cyrillic, kana = quality_rules.Bands(), {}, {}
+    for i, c in enumerate("abcdefghijklmnopqrstuvwxyz"):
+        cyrillic |= {ord(c): 0x430 + i, ord(c.upper()): 0x410 + i}
+        kana |= {ord(c): 0x3042 + 2 * i, ord(c.upper()): 0x3042 + 2 * i}
+    draw = random.Random(6)
+    words = ["".join(draw.choices("etaoinshrdlucmfwyp", k=draw.randrange(2, 11))) for _ in range(900)]
+    weights = [1 / (i + 5) for i in range(900)]
+    for n in (900, 4000):
+        text = " ".join(draw.choices(words, weights, k=n))
+        for letters in ({}, cyrillic, kana):
+            data = text.translate(letters).encode()
+            assert bands.accept(data), (n, bands.ratio(data))
+    cycle = " ".join(draw.choices(words, k=40) * 60).translate(cyrillic)
+    assert not bands.accept(cycle.encode())
+
+
+@pytest.mark.parametrize("name", ["MPL-2.0", "Apache-2.0"])
+def test_bands_accept_licences(name):
+    file = pathlib.Path("/usr/share/common-licenses", name)
+    if not file.exists():
+        pytest.skip("no such text here")
+    assert quality_rules.Bands().accept(file.read_bytes())
