@@ -71,6 +71,32 @@ SENTENCES = {
     "rights-reserved": "all rights reserved",
 }
 
+# The GNU notices, as full stops, colons and semicolons cut them: version 2 stands in a sentence
+# of its own, version 3 mostly not.
+GNU = {"gpl": "gnu general", "lgpl": "gnu lesser general", "agpl": "gnu affero general"}
+LATER = "either version {} of the license or at your option any later version"
+for _name, _words in GNU.items():
+    _grant = (
+        f"you can redistribute it and or modify it under the terms of the {_words} public license "
+        "as published by the free software foundation"
+    )
+    SENTENCES[f"{_name}-redistribute"] = _grant
+    SENTENCES[f"{_name}3-redistribute"] = f"{_grant} {LATER.format(3)}"
+SENTENCES |= {
+    "gnu-version-2": LATER.format(2),
+    "gnu-version-2-1": LATER.format("2 1"),
+    "gnu-version-3": LATER.format(3),
+    "mpl2-source": "this source code form is subject to the terms of the mozilla public license v",
+    "isc-permission": "permission to use copy modify and or distribute this software for any "
+    "purpose with or without fee is hereby granted provided that the above copyright notice and "
+    "this permission notice appear in all copies",
+    "unlicense-domain": "this is free and unencumbered software released into the public domain",
+    "epl2-terms": "this program and the accompanying materials are made available under the terms "
+    "of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "cc0-work": "this work is licensed under cc0 1 0 universal",
+    "mit-project": "this project is licensed under the mit license",
+}
+
 #: Licence, name of the rule, identifiers that must follow each other in this order. Others
 #: may stand between them. A licence's rules go from the fullest to the barest.
 RULES = [
@@ -89,6 +115,20 @@ RULES = [
     ("GPL-3.0", "terms", ["gpl3-terms"]),
     ("GPL-3.0", "work", ["gpl3-work"]),
     ("GPL-3.0", "reference", ["gpl3-grant"]),
+    ("GPL-3.0", "notice", ["gpl3-redistribute"]),
+    ("GPL-3.0", "split-notice", ["gpl-redistribute", "gnu-version-3"]),
+    ("GPL-2.0", "notice", ["gpl-redistribute", "gnu-version-2"]),
+    ("LGPL-3.0", "notice", ["lgpl3-redistribute"]),
+    ("LGPL-3.0", "split-notice", ["lgpl-redistribute", "gnu-version-3"]),
+    ("LGPL-2.1", "notice", ["lgpl-redistribute", "gnu-version-2-1"]),
+    ("AGPL-3.0", "notice", ["agpl3-redistribute"]),
+    ("AGPL-3.0", "split-notice", ["agpl-redistribute", "gnu-version-3"]),
+    ("MPL-2.0", "notice", ["mpl2-source"]),
+    ("ISC", "text", ["isc-permission"]),
+    ("Unlicense", "text", ["unlicense-domain"]),
+    ("EPL-2.0", "notice", ["epl2-terms"]),
+    ("CC0-1.0", "work", ["cc0-work"]),
+    ("MIT", "project", ["mit-project"]),
     (
         "BSD-3-Clause",
         "text",

@@ -219,3 +219,27 @@ def test_bands_accept_licences(name):
     if not file.exists():
         pytest.skip("no such text here")
     assert quality_rules.Bands().accept(file.read_bytes())
+
+
+def test_notices_of_further_licences(spark):
+    gnu = (
+        "This program is free software{} you can redistribute it and/or modify\nit under the terms "
+        "of the GNU {}General Public License as published by\nthe Free Software Foundation{} either "
+        "version {} of the License, or\n(at your option) any later version.\n"
+    )
+    rows = {
+        "GPL-2.0:notice": gnu.format(";", "", ";", 2),
+        "GPL-3.0:notice": gnu.format(":", "", ",", 3),
+        "LGPL-2.1:notice": gnu.format(";", "Lesser ", ";", "2.1"),
+        "AGPL-3.0:notice": gnu.format(":", "Affero ", ",", 3),
+        "MPL-2.0:notice": "This Source Code Form is subject to the terms of the Mozilla Public\n"
+        "License, v. 2.0. If a copy of the MPL was not distributed",
+        "ISC:text": "Permission to use, copy, modify, and/or distribute this software for any\npurpose "
+        "with or without fee is hereby granted, provided that the above\ncopyright notice and this "
+        "permission notice appear in all copies.",
+        "Unlicense:text": "This is free and unencumbered software released into the public domain.",
+        "MIT:project": "This project is licensed under the MIT License.",
+    }
+    docs = odd_documents(spark, list(enumerate(rows.values())))
+    found = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
+    assert [found[i] for i in range(len(rows))] == list(rows)
