@@ -80,3 +80,103 @@ JACCARD_SQL = r"""
     SELECT doc_id, len(shingles) AS n_shingles, component_id
     FROM sets JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
       USING (doc_id)"""
+
+# Forward over the rows of each conversation, the cheapest way into each state kept with its edits
+# and lines; up to three rows are inserted before a row. The checksum's table is made by its rule.
+REPAIR_SQL = r"""
+    WITH RECURSIVE remainders AS (
+        SELECT list(r ORDER BY b) AS t FROM (
+            SELECT b, list_reduce(
+                list_prepend(b::BIGINT, range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            ) AS r FROM range(256) AS bytes(b))
+    ), drawn AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(
+                       string_split(coalesce(conv_id::VARCHAR, ' ') || ':'
+                                    || coalesce(turn::VARCHAR, ' '), ''),
+                       lambda d: ascii(d)::BIGINT)),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])
+               )) % 20 AS draw
+        FROM conversations, remainders
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+               CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                    ELSE text END AS text
+        FROM drawn, range(2) AS copies(copy) WHERE draw <> 0 AND (draw = 3 OR copy = 0)
+    ), numbered AS (
+        SELECT *, left(role, 1) AS initial, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n
+        FROM damaged
+    ), judged AS (
+        SELECT *, CASE
+                WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1
+                    THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated'
+                ELSE '' END AS fault,
+            lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair
+        FROM numbered
+    ), inserted (state, k, wanted, added, lines) AS (
+        VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 1, 2, 'I', ['user:']),
+               (0, 2, 3, 'II', ['user:', 'assistant:']),
+               (0, 3, 2, 'III', ['user:', 'assistant:', 'user:']),
+               (1, 0, 1, '', []), (1, 1, 2, 'I', ['user:']),
+               (1, 2, 3, 'II', ['user:', 'assistant:']),
+               (1, 3, 2, 'III', ['user:', 'assistant:', 'user:']),
+               (2, 0, 2, '', []), (2, 1, 3, 'I', ['assistant:']),
+               (2, 2, 2, 'II', ['assistant:', 'user:']),
+               (2, 3, 3, 'III', ['assistant:', 'user:', 'assistant:']),
+               (3, 0, 3, '', []), (3, 1, 2, 'I', ['user:']),
+               (3, 2, 3, 'II', ['user:', 'assistant:']),
+               (3, 3, 2, 'III', ['user:', 'assistant:', 'user:'])
+    ), edits (state, edit, next_state, needs, new_role, price) AS (
+        VALUES (0, 'D', 0, '', '', 2), (1, 'D', 1, '', '', 2), (2, 'D', 2, '', '', 2),
+               (3, 'D', 3, '', '', 2), (0, 'K', 1, 's', '', 0), (0, 'K', 2, 'u', '', 0),
+               (1, 'K', 2, 'u', '', 0), (2, 'K', 3, 'a', '', 0), (3, 'K', 2, 'u', '', 0),
+               (0, 'R', 2, '', 'user', 1), (1, 'R', 2, '', 'user', 1),
+               (2, 'R', 3, '', 'assistant', 1), (3, 'R', 2, '', 'user', 1)
+    ), ways AS (
+        SELECT DISTINCT conv_id, 0::BIGINT AS n, 0 AS state,
+               {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS best
+        FROM judged
+        UNION ALL
+        SELECT conv_id, n, state, min(way) FROM (
+            SELECT w.conv_id, r.n, e.next_state AS state, {
+                    'cost': (w.best.cost + 5 * i.k + e.price + CASE WHEN e.edit <> 'D'
+                             AND r.fault = 'truncated' THEN 5 ELSE 0 END)::BIGINT,
+                    'audit': w.best.audit || i.added || e.edit,
+                    'lines': w.best.lines || i.lines || CASE e.edit WHEN 'D' THEN []
+                        WHEN 'K' THEN [r.role || ':' || r.text]
+                        ELSE [e.new_role || ':' || r.text] END
+                } AS way
+            FROM ways w
+            JOIN inserted i ON i.state = w.state
+            JOIN judged r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.n = w.n + 1
+            JOIN edits e ON e.state = i.wanted AND (e.edit = 'D'
+                OR r.fault NOT IN ('blank', 'duplicate') AND e.needs IN ('', r.initial))
+        ) GROUP BY conv_id, n, state
+    ), lengths AS (
+        SELECT conv_id, count(*) AS n, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+               coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+        FROM judged GROUP BY conv_id
+    ), finished AS (
+        SELECT w.conv_id, min({'cost': w.best.cost + 5 * i.k, 'audit': w.best.audit || i.added,
+                               'lines': w.best.lines || i.lines}) AS best
+        FROM ways w JOIN inserted i ON i.state = w.state AND i.wanted IN (0, 3)
+        JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.n = w.n
+        GROUP BY w.conv_id
+    )
+    SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+           coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+           coalesce(best.audit, '') AS audit,
+           sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+    """

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm.common import documents
+from martloom.llm.conversation_repair import conversations, damage, repair_report
 from martloom.llm.exact_dedup import dedup_report, new_index
 from martloom.llm.jaccard_join import jaccard_components
 from martloom.llm.license_scan import scan_licenses
-from martloom.llm.oracles import JACCARD_SQL, license_sql
+from martloom.llm.oracles import JACCARD_SQL, REPAIR_SQL, license_sql
 from martloom.llm.packing import pack_documents
 from martloom.llm.quality_classifier import classify, fit, read_labels
 from martloom.llm.quality_rules import judge_documents
@@ -146,3 +147,9 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_jaccard_join", JACCARD_SQL)
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))
+
+
+@query("op12_conversation_repair", REPAIR_SQL)
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversations(spark, folder)
+    return repair_report(damage(rows), rows)
