@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.llm.bin_completion import pack_fewest
 from martloom.llm.common import documents
 from martloom.llm.conversation_repair import conversations, damage, repair_report
 from martloom.llm.exact_dedup import dedup_report, new_index
@@ -29,7 +30,10 @@ ORACLES: dict[str, str] = {}
 SHARDS = 40
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-END_OF_DOCUMENT, END_OF_FILE_DOCUMENT = 0, 2
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+END_OF_DOCUMENT, END_OF_PACKED, END_OF_FILE_DOCUMENT = 0, 1, 2
+#: Ids in a sequence of the fewest.
+WINDOW = 4096
 
 
 def query(name: str, sql: str | None = None):
@@ -160,3 +164,8 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_hard_negatives", HARD_NEGATIVES_SQL)
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return mine_hard_negatives(relabelled(embeddings(spark, folder)), F.col("vec_id") % 100 == 0)
+
+
+@query("op11_bin_completion")
+def op11_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_fewest(documents(spark, folder), WORD_BPE, END_OF_PACKED, WINDOW)
