@@ -1,0 +1,182 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from martloom.llm import conversation_repair
+from martloom.llm.conversation_repair import damage, repair, repair_report
+from martloom.llm.oracles import REPAIR_SQL
+from martloom.llm.queries import op12_conversation_repair
+from tests.comparing import differences
+
+SCHEMA = "conv_id long, turn long, role string, text string, conv string, audit string, kind int"
+SOLID = re.compile(r"[^\x20\x09-\x0D]")
+TEXTS = ["Yes.", "no", "", " \n", "What? ", "cut", "Done!", "x. y", None]
+ROLES = ["user", "assistant", "system", "tool", "User", "ua", "", None]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "c", "a", 1) for r in rows], SCHEMA)
+
+
+def drawn(rng, convs=40, most=9):
+    rows = []
+    for conv in range(convs):
+        for turn in range(rng.randrange(most)):
+            role = rng.choice(ROLES) if rng.random() < 0.4 else ("user", "assistant")[turn % 2]
+            at = rng.choice([turn, turn, turn, turn + 1])
+            rows.append((conv, at, role, rng.choice(TEXTS)))
+    return rows
+
+
+def in_order(rows):
+    rows = [(t, " " if r is None else r, " " if x is None else x) for t, r, x in rows]
+    return sorted(
+        rows,
+        key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()),
+    )
+
+
+def by_hand(rows):
+    """Cheapest edits of a conversation, least audit, by trying all ways forwards."""
+    rows, seen, faults = in_order(rows), set(), []
+    for _, role, text in rows:
+        solid = SOLID.findall(text)
+        if not solid:
+            faults.append("blank")
+        elif (role, text) in seen:
+            faults.append("duplicate")
+        else:
+            faults.append("truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    def inserted(ways):
+        for _ in range(3):
+            for last, (cost, audit, lines) in list(ways.items()):
+                for new in "ua":
+                    if new in follows[last]:
+                        role = {"u": "user:", "a": "assistant:"}[new]
+                        better(ways, new, (cost + 5, audit + "I", [*lines, role]))
+        return ways
+
+    def better(ways, last, way):
+        if last not in ways or way[:2] < ways[last][:2]:
+            ways[last] = way
+
+    ways = {"": (0, "", [])}
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        after = {}
+        for last, (cost, audit, lines) in inserted(ways).items():
+            better(after, last, (cost + 2, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 5 * (fault == "truncated")
+            if role and role[0] in follows[last]:
+                line = f"{role}:{text}"
+                better(after, role[0], (cost + more, audit + "K", [*lines, line]))
+            for new in ("user", "assistant"):
+                if new[0] in follows[last]:
+                    line = f"{new}:{text}"
+                    better(after, new[0], (cost + 1 + more, audit + "R", [*lines, line]))
+        ways = after
+    cost, audit, lines = min(w for q, w in inserted(ways).items() if q in ("", "a"))
+    pairs = [a[1][:1] + b[1][:1] for a, b in itertools.pairwise(rows)]
+    turns = {r[0] for r in rows if r[0] is not None}
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        **{f: faults.count(f) for f in ("blank", "duplicate", "truncated")},
+        "illegal": sum(p not in ("su", "ua", "au") for p in pairs),
+        "cost": cost,
+        "audit": audit,
+        "repaired_sha256": hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+    }, lines
+
+
+def grouped(rows):
+    convs = defaultdict(list)
+    for conv, *rest in rows:
+        convs[conv].append(rest)
+    return convs
+
+
+def check(spark, rows):
+    df = table(spark, rows)
+    got = {r.conv_id: r.asDict() for r in repair_report(df, df).collect()}
+    lines = defaultdict(list)
+    for r in sorted(repair(df).collect(), key=lambda r: r.place):
+        lines[r.conv_id].append(f"{r.role}:{r.text}")
+    want = grouped(rows)
+    assert got.keys() == want.keys()
+    for conv, own in want.items():
+        report, texts = by_hand(own)
+        assert got[conv] == {"conv_id": conv, **report}, own
+        assert lines[conv] == texts, own
+
+
+@pytest.mark.parametrize("block", [1, 3, 4096])
+def test_by_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(conversation_repair, "LEAST_BLOCK", block)
+    monkeypatch.setattr(conversation_repair.math, "isqrt", lambda n: block)
+    check(spark, drawn(random.Random(block)))
+
+
+def test_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(conversation_repair, "LEAST_BLOCK", 16)
+    rng = random.Random(8)
+    rows = [
+        (1, t, rng.choice(["user", "assistant", "user", "assistant", "x"]),
+         f"{rng.randrange(900)}{rng.choice(['.', '.', ''])}")
+        for t in range(1500)
+    ]
+    check(spark, [*rows, (2, 0, "user", "Hi.")])
+
+
+def test_odd_rows(spark):
+    rows = [
+        (None, 1, "user", "A conversation without an id."),
+        (None, None, "assistant", "It goes on."),
+        (1, None, "user", "Ties."),
+        (1, None, "user", "Ties."),
+        (1, None, "assistant", "Ties too."),
+        (2, 5, None, None),
+        (3, 1, "user", "long " * 50_000 + "end."),
+        (3, 2, "assistant", "日本 😀."),
+        (3, 2, "assistant", "日本 😀."),
+        (4, 1, "system", "Alone."),
+    ]
+    check(spark, rows)
+    assert repair_report(table(spark, []), table(spark, [])).count() == 0
+    assert repair(table(spark, [])).count() == 0
+
+
+def test_conversations_with_nothing_left(spark):
+    rows = table(spark, [(1, 0, "user", "Hi."), (2, 0, "user", "Hi.")])
+    report = {r.conv_id: r for r in repair_report(rows.where("conv_id = 1"), rows).collect()}
+    assert (report[2].cost, report[2].gaps, report[2].audit) == (0, 0, "")
+    assert report[2].repaired_sha256 == hashlib.sha256().hexdigest()
+
+
+def test_damage_by_hand(spark):
+    rows = [(c, t, "assistant", "One. Two! 3?") for c in range(40) for t in range(5)]
+    rows += [(None, 1, None, None), (1, None, "system", "a.")]
+    want = []
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        draw = zlib.crc32(key.encode()) % 20
+        role, text = role or " ", text or " "
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(draw, text)
+        row = (conv, turn, "user" if draw == 4 else role, text)
+        want += [row] * {0: 0, 3: 2}.get(draw, 1)
+    got = [tuple(r) for r in damage(table(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_by_sql(spark, scale):
+    folder = f"/root/testdata/{scale}"
+    assert not differences(op12_conversation_repair(spark, folder), REPAIR_SQL, folder)

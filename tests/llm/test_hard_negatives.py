@@ -1,0 +1,126 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.llm import hard_negatives
+from martloom.llm.hard_negatives import mine_hard_negatives, product, relabelled
+from martloom.llm.oracles import HARD_NEGATIVES_SQL
+from martloom.llm.queries import op13_hard_negatives
+from tests.comparing import differences
+
+SCHEMA = "vec_id long, label int, embedding array<double>, score long, anchor string"
+FIRST = 1 << 63
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 7, "x") for r in rows], SCHEMA)
+
+
+def by_hand(rows, every):
+    part = [
+        (i, label, [math.floor(256 * x) for x in v])
+        for i, label, v in rows
+        if label is not None and v is not None
+        and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = Counter()
+    anchors = {(i, label, tuple(v)) for i, label, v in part if i is not None and i % every == 0}
+    for anchor, label, vector in anchors:
+        scored = sorted(
+            (-sum(a * b for a, b in zip(vector, v, strict=False)), FIRST if i is None else i, mine)
+            for i, mine, v in part
+            if i != anchor
+        )
+        for score, positive, _ in [s for s in scored if s[2] == label][:5]:
+            inside = [
+                s for s in scored
+                if s[2] != label and 30 * -score <= 100 * -s[0] <= 90 * -score
+            ]
+            for rank, (minus, negative, _) in enumerate(inside[:10], 1):
+                ids = [None if i == FIRST else i for i in (positive, negative)]
+                out[anchor, ids[0], rank, ids[1], -score, -minus] += 1
+    return out
+
+
+def mined(df, every):
+    return Counter(map(tuple, mine_hard_negatives(df, F.col("vec_id") % every == 0).collect()))
+
+
+def drawn(seed, count=150, width=5, step=0.01):
+    rng = random.Random(seed)
+    return [
+        (i, rng.randrange(3), [rng.randrange(-60, 90) * step for _ in range(width)])
+        for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("seed,step", [(1, 0.01), (2, 0.002)])
+def test_by_brute_force(spark, seed, step):
+    rows = drawn(seed, step=step)
+    assert mined(table(spark, rows).repartition(5), 10) == by_hand(rows, 10)
+
+
+def test_many_ties_and_waves(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "WAVE_ANCHORS", 8)
+    monkeypatch.setattr(hard_negatives, "TILE", 40)
+    rows = [(i, i % 2, [1.0, (i % 3) / 4]) for i in range(200)]
+    assert mined(table(spark, rows).repartition(7), 10) == by_hand(rows, 10)
+
+
+def test_half_the_rows_one_label(spark):
+    rows = [(i, 0 if i % 2 else i % 9, v) for i, _, v in drawn(4)]
+    assert mined(table(spark, rows).repartition(3), 15) == by_hand(rows, 15)
+
+
+def test_odd_rows(spark):
+    rows = drawn(3, 60)
+    rows += [
+        (100, None, [1.0] * 5),
+        (101, 1, None),
+        (102, 1, [1.0, None, 0.5, 0.5, 0.5]),
+        (110, 1, [math.nan, 1.0, 0.5, 0.5, 0.5]),
+        (120, 2, [math.inf, 1.0, 0.5, 0.5, 0.5]),
+        (None, 1, [0.9] * 5),
+        (None, 0, [0.7] * 5),
+        (130, 1, []),
+        (140, 2, [0.5, 0.5]),
+        (150, 0, [0.5] * 7),
+        (31, 1, [0.8] * 5),
+        (31, 1, [0.8] * 5),
+        (30, 0, [0.2] * 5),
+        (30, 0, [0.2] * 5),
+    ]
+    assert mined(table(spark, rows), 10) == by_hand(rows, 10)
+    assert mine_hard_negatives(table(spark, []), F.col("vec_id") % 10 == 0).count() == 0
+    assert mine_hard_negatives(table(spark, rows[1:3]), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_products_are_exact():
+    left = np.array([[float(1 << 40), 3.0]])
+    right = np.array([[float(1 << 20), 1.0], [-float(1 << 22), 5.0]])
+    assert product(left, right).tolist() == [[(1 << 60) + 3, -(1 << 62) + 15]]
+    with pytest.raises(OverflowError):
+        product(left * (1 << 20), right)
+
+
+def test_relabelled(spark):
+    rows = [(7, 9, [1.0]), (8, 9, [1.0]), (14, 3, [1.0]), (None, 1, None), (21, None, [1.0])]
+    got = {r.vec_id: r.label for r in relabelled(table(spark, rows)).collect()}
+    assert got == {7: 0, 8: 9, 14: 4, None: 1, 21: None}
+
+
+def test_integer_vectors():
+    rows = pa.array([[0.5, -0.001], [], [1.0]], pa.list_(pa.float64()))
+    got = hard_negatives.integer_vectors(rows, 1)
+    assert got.tolist() == [[128, -1], [0, 0], [256, 0]]
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.1"])
+def test_by_sql(spark, scale):
+    folder = f"/root/testdata/{scale}"
+    assert not differences(op13_hard_negatives(spark, folder), HARD_NEGATIVES_SQL, folder)

@@ -8,13 +8,15 @@ from martloom.llm import jaccard_join as jj
 from tests.llm.odd import COLUMNS, ROWS, no_documents, odd_documents, table
 
 
-def shingles(text):
+def shingles(text, n=3):
     words = (text or "").encode().lower().split()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))) if words else frozenset()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def by_hand(rows, part=90, of=100):
-    sets = [shingles(t) for _, t in rows]
+def by_hand(rows, part=90, of=100, n_words=3):
+    sets = [shingles(t, n_words) for _, t in rows]
     label = list(range(len(rows)))
 
     def root(i):

@@ -42,7 +42,7 @@ def test_each_stage_by_hand(spark, steps):
         rank = (-len(r.text), r.doc_id)
         best[squeezed(r.text)] = min(best.get(squeezed(r.text), rank), rank)
     assert set(texts(exact)) == {i for _, i in best.values()}
-    groups = by_hand([(r.doc_id, r.text) for r in exact])
+    groups = by_hand([(r.doc_id, r.text) for r in exact], part=80, n_words=5)
     assert set(texts(near)) == {k if not n else c for k, n, c in groups}
     assert set(texts(clean)) == set(texts(near))
     for r in clean:
