@@ -11,10 +11,14 @@ and what later runs replaced, is in no snapshot and can be removed at any time.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from martloom.session import write_stage
+from martloom.sources import key_index
 
 # Marker that Spark's committer leaves in a completely written folder.
 COMPLETE = "_SUCCESS"
@@ -22,7 +26,12 @@ SNAPSHOT = "snapshot-{:08d}"
 # Name that Spark gives the folder of rows whose partition value is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 RUNS, CURRENT, RUN = "runs", "current", "run"
-CURRENT_SCHEMA = "partition string, run bigint, rows bigint, uploaded timestamp_ntz"
+CURRENT_SCHEMA = (
+    "partition string, run bigint, rows bigint, uploaded timestamp_ntz, "
+    "sources array<struct<source:string,uploaded:timestamp_ntz>>"
+)
+# Small tables kept with a mart: distinct values per run, and states per snapshot.
+LISTED, BESIDE = "listed", "beside"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -31,20 +40,33 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
-    """(name, complete) of every snapshot folder, oldest first."""
-    files, folder = _file_system(spark, root)
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, sorted; none if it doesn't exist."""
+    files, folder = _file_system(spark, path)
     if not files.exists(folder):
         return []
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    names = sorted(s.getPath().getName() for s in files.listStatus(folder))
+    return sorted(s.getPath().getName() for s in files.listStatus(folder))
+
+
+def _snapshots(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
+    """(name, complete) of every snapshot folder, oldest first."""
     return [
-        (n, files.exists(path_of(f"{root}/{n}/{COMPLETE}")))
-        for n in names
+        (n, exists(spark, f"{root}/{n}/{COMPLETE}"))
+        for n in folder_names(spark, root)
         if n.startswith("snapshot-")
     ]
 
 
+def _next_snapshot(spark: SparkSession, root: str) -> str:
+    taken = _snapshots(spark, root)
+    return SNAPSHOT.format(int(taken[-1][0].rsplit("-", 1)[1]) + 1 if taken else 0)
+
+
 def empty_frame(spark: SparkSession, schema: StructType | str) -> DataFrame:
     """No rows, and known to the planner to be none, so that joins to it vanish."""
     return spark.createDataFrame([], schema).limit(0)
@@ -69,9 +91,7 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
     The frame may read the current snapshot, which stays in place for its readers.
     """
     spark = df.sparkSession
-    taken = _snapshots(spark, root)
-    number = int(taken[-1][0].rsplit("-", 1)[1]) + 1 if taken else 0
-    path = f"{root}/{SNAPSHOT.format(number)}"
+    path = f"{root}/{_next_snapshot(spark, root)}"
     df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
     return path
 
@@ -91,6 +111,52 @@ def uploads(spark: SparkSession, path: str, name: str = "kortex_upld_ts") -> Dat
     return read_current(spark, path).select(F.col("uploaded").alias(name))
 
 
+def source_uploads(
+    spark: SparkSession, path: str, source: str, name: str = "kortex_upld_ts"
+) -> DataFrame:
+    """Latest uploads by partition and source, from the snapshot alone.
+
+    Grouped by source they give what the mart's rows would give.
+    """
+    marks = read_current(spark, path).select(F.explode("sources").alias("_mark"))
+    return marks.select(
+        F.col("_mark.source").alias(source), F.col("_mark.uploaded").alias(name)
+    )
+
+
+def partition_dates(partitions: DataFrame, column: str) -> DataFrame:
+    """The dates that partition names stand for, as ``column``."""
+    name = F.col("partition")
+    return partitions.select(
+        F.when(name != NULL_PARTITION, name).cast("date").alias(column)
+    )
+
+
+def read_listed(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """The values that runs listed under ``name``, with the ``partition`` whose rows have them.
+
+    No row of the mart is read. A mart kept by runs that didn't list them raises.
+    """
+    full = f"{schema}, partition string, {RUN} bigint"
+    current = read_current(spark, path).select("partition", RUN)
+    runs = [r[RUN] for r in current.select(RUN).distinct().collect()]
+    root = f"{path}/{LISTED}/{name}"
+    if not runs:
+        return empty_frame(spark, full)
+    listed = spark.read.schema(full).option("basePath", root)
+    rows = listed.parquet(*[f"{root}/{RUN}={n}" for n in sorted(runs)])
+    return rows.join(current, ["partition", RUN], "left_semi")
+
+
+def read_beside(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame | None:
+    """The table that was published under ``name`` with the newest snapshot, if one was."""
+    complete = [n for n, done in _snapshots(spark, f"{path}/{CURRENT}") if done]
+    folder = f"{path}/{BESIDE}/{name}/{complete[-1]}" if complete else ""
+    if not complete or not exists(spark, folder):
+        return None
+    return spark.read.schema(schema).parquet(folder)
+
+
 def _read_runs(
     spark: SparkSession, path: str, schema: StructType | str, column: str, current: DataFrame
 ) -> DataFrame:
@@ -126,10 +192,7 @@ def read_partitions(
 
 
 def _next_run(spark: SparkSession, path: str) -> int:
-    files, folder = _file_system(spark, f"{path}/{RUNS}")
-    if not files.exists(folder):
-        return 1
-    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    names = folder_names(spark, f"{path}/{RUNS}")
     return 1 + max((int(n.partition("=")[2]) for n in names if n.startswith(f"{RUN}=")), default=0)
 
 
@@ -139,15 +202,23 @@ def publish_partitions(
     column: str,
     touched: DataFrame | None = None,
     uploaded: str | None = None,
+    source: str | None = None,
+    keys: Sequence[str] = (),
+    listed: Mapping[str, Sequence[str]] = MappingProxyType({}),
+    beside: Mapping[str, DataFrame] = MappingProxyType({}),
     **conditions: Column,
 ) -> dict[str, int]:
     """Make ``df`` the rows of the ``touched`` partitions, and keep all others.
 
     Touched partitions without rows in ``df`` vanish.  Rows of a partition that isn't
     touched are added to it; its old rows are neither read nor written.  Without a list,
-    the partitions that ``df`` has rows for are touched.  ``uploaded`` is the upload time,
-    whose maximum is kept with each partition.  The switch is the new snapshot: until it is
-    complete readers see the mart as it was, and a run that failed can be repeated.
+    the partitions that ``df`` has rows for are touched.  The switch is the new snapshot:
+    until it is complete readers see the mart as it was, and a run that failed can be repeated.
+
+    Kept with the snapshot, so that later runs need not read the mart for it: with each
+    partition the maximum of ``uploaded``, the upload time, and by ``source`` column too; an
+    index of the ``keys`` (see ``key_index``); under each name of ``listed`` the distinct
+    values of some columns by partition; and the small tables ``beside``.
 
     Returns what the run did, counted from its files: the rows written, those that meet
     each condition, and the rows that the touched partitions had before.
@@ -158,28 +229,42 @@ def publish_partitions(
     # partition that holds much of the mart is cut into several tasks.
     folder = f"{path}/{RUNS}/{RUN}={number}"
     df.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
+    in_partition = partition_name(column).alias("partition")
     latest = F.max(uploaded) if uploaded else F.lit(None)
-    fresh = write_stage(
-        spark.read.schema(df.schema)
-        .parquet(folder)
-        .groupBy(partition_name(column).alias("partition"))
+    marks = (
+        written.groupBy(in_partition, (F.col(source) if source else F.lit(None)).alias("source"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
             latest.cast("timestamp_ntz").alias("uploaded"),
             *[F.count_if(condition).alias(f"_{name}") for name, condition in conditions.items()],
         )
-        .withColumn("run", F.lit(number).cast("bigint")),
-        "fresh-partitions",
+        .groupBy("partition")
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.collect_list(F.struct("source", "uploaded")).alias("sources"),
+            F.max("uploaded").alias("uploaded"),
+            *[F.sum(f"_{name}").alias(f"_{name}") for name in conditions],
+        )
     )
+    fresh = write_stage(marks.withColumn("run", F.lit(number).cast("bigint")), "fresh-partitions")
+    for name, columns in listed.items():
+        values = written.select(*columns, in_partition).distinct()
+        values.write.parquet(f"{path}/{LISTED}/{name}/{RUN}={number}")
+    if keys:
+        key_index.add_keys(written, path, column, keys, number)
     gone = fresh.select("partition")
     if touched is not None:
         gone = touched.select(partition_name(column).alias("partition")).distinct()
     old = read_current(spark, path)
-    names = ["partition", "run", "rows", "uploaded"]
-    current = old.join(gone, "partition", "left_anti").unionByName(fresh.select(*names))
+    current = old.join(gone, "partition", "left_anti").unionByName(fresh.select(*old.columns))
     before = old.join(gone, "partition", "left_semi").agg(F.sum("rows"))
     counts = fresh.agg(F.sum("rows"), *[F.sum(f"_{name}") for name in conditions]).first()
     seen = dict(zip(["rows", *conditions, "before"], [*counts, before.first()[0]], strict=True))
+    snapshot = _next_snapshot(spark, f"{path}/{CURRENT}")
+    for name, table in beside.items():
+        # A run that failed after this may have left the same snapshot's table.
+        table.write.mode("overwrite").parquet(f"{path}/{BESIDE}/{name}/{snapshot}")
     publish_snapshot(current.coalesce(1), f"{path}/{CURRENT}")
     return {name: count or 0 for name, count in seen.items()}
 
@@ -189,7 +274,9 @@ def remove_old_runs(spark: SparkSession, path: str) -> list[int]:
     older snapshot is at work."""
     current = {r.run for r in read_current(spark, path).select("run").distinct().collect()}
     old = [n for n in range(1, _next_run(spark, path)) if n not in current]
+    kinds = [RUNS, *(f"{LISTED}/{name}" for name in folder_names(spark, f"{path}/{LISTED}"))]
     for number in old:
-        files, folder = _file_system(spark, f"{path}/{RUNS}/{RUN}={number}")
-        files.delete(folder, True)
+        for kind in kinds:
+            files, folder = _file_system(spark, f"{path}/{kind}/{RUN}={number}")
+            files.delete(folder, True)
     return old
