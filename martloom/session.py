@@ -15,6 +15,8 @@ LOAD_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Folders of a mart are listed by some tasks, not by one each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # Plans here are built from hundreds of column calls; recording the call site of
     # each takes longer than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
