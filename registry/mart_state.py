@@ -18,8 +18,8 @@ from martloom.sources.mart import (
 from registry import register, table
 
 KEYS = ["l_orderkey", "l_linenumber"]
-MONTH, COLUMNS = "ship_month", ["l_orderkey", "l_linenumber", "l_shipmode", "l_shipdate"]
-SCHEMA = "l_orderkey bigint, l_linenumber bigint, l_shipmode string, l_shipdate timestamp_ntz"
+MONTH = "ship_month"
+SCHEMA = "l_orderkey bigint, l_linenumber bigint, l_returnflag string, l_shipdate timestamp_ntz"
 
 
 def _mart_of_lines(spark, folder):
@@ -27,8 +27,8 @@ def _mart_of_lines(spark, folder):
     path, month = new_mart_path(spark), F.trunc("l_shipdate", "month")
     typed = [F.col(f.split()[0]).cast(f.split()[1]) for f in SCHEMA.split(", ")]
     lines = table(spark, folder, "lineitem").select(*typed).withColumn(MONTH, month)
-    facts = {"uploaded": "l_shipdate", "source": "l_shipmode", "keys": KEYS}
-    facts["listed"] = {"modes": ["l_shipmode"]}
+    facts = {"uploaded": "l_shipdate", "source": "l_returnflag", "keys": KEYS}
+    facts["listed"] = {"modes": ["l_returnflag"]}
     publish_partitions(lines, path, MONTH, **facts)
     moving = lines.filter("l_orderkey % 10 = 0")
     months = partitions_of_keys(spark, path, moving, KEYS)
@@ -43,7 +43,7 @@ def _mart_of_lines(spark, folder):
 
 
 LINES_SQL = """
-    SELECT l_orderkey, l_linenumber, l_shipmode, CASE WHEN l_orderkey % 10 = 0
+    SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_orderkey % 10 = 0
                THEN l_shipdate + INTERVAL 2 MONTHS ELSE l_shipdate END AS l_shipdate
     FROM lineitem"""
 
@@ -67,28 +67,28 @@ def key_index_lookup(spark, folder):
     "source_watermarks",
     f"""
     WITH lines AS ({LINES_SQL}), latest AS (
-        SELECT l_shipmode, max(l_shipdate) AS uploaded FROM lines GROUP BY l_shipmode)
-    SELECT l_shipmode, uploaded, (SELECT min(uploaded) FROM latest) AS start_ts FROM latest""",
+        SELECT l_returnflag, max(l_shipdate) AS uploaded FROM lines GROUP BY l_returnflag)
+    SELECT l_returnflag, uploaded, (SELECT min(uploaded) FROM latest) AS start_ts FROM latest""",
 )
 def source_watermarks(spark, folder):
     """The latest upload of each source and the start that the slowest gives."""
-    marks = source_uploads(spark, _mart_of_lines(spark, folder), "l_shipmode", "uploaded")
-    start = start_of(slowest_source_high_water(marks, "l_shipmode", "uploaded"))
-    latest = marks.groupBy("l_shipmode").agg(F.max("uploaded").alias("uploaded"))
+    marks = source_uploads(spark, _mart_of_lines(spark, folder), "l_returnflag", "uploaded")
+    start = start_of(slowest_source_high_water(marks, "l_returnflag", "uploaded"))
+    latest = marks.groupBy("l_returnflag").agg(F.max("uploaded").alias("uploaded"))
     return latest.withColumn("start_ts", ntz_literal(start))
 
 
 @register(
     "listed_values",
     f"""
-    SELECT l_shipmode, count(DISTINCT date_trunc('month', l_shipdate)) AS months
-    FROM ({LINES_SQL}) GROUP BY l_shipmode""",
+    SELECT l_returnflag, count(DISTINCT date_trunc('month', l_shipdate)) AS months
+    FROM ({LINES_SQL}) GROUP BY l_returnflag""",
 )
 def listed_values(spark, folder):
     """In how many months each ship mode occurs, from the values that runs listed."""
-    listed = read_listed(spark, _mart_of_lines(spark, folder), "modes", "l_shipmode string")
+    listed = read_listed(spark, _mart_of_lines(spark, folder), "modes", "l_returnflag string")
     months = F.count_distinct("partition").alias("months")
-    return listed.groupBy("l_shipmode").agg(months)
+    return listed.groupBy("l_returnflag").agg(months)
 
 
 def _customer_states(spark, folder):
