@@ -97,11 +97,12 @@ class Chunks(dict):
 
 
 class TextEncoder:
-    """Ids of a whole text; strings of special tokens in it are ordinary text."""
+    """Ids of a whole text as the library gives them, which finds strings of added tokens in it."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
         pre = self.tokenizer.pre_tokenizer
         self.cuts = (
             self.tokenizer.normalizer is None
@@ -119,7 +120,7 @@ class TextEncoder:
         """The ids as unsigned little-endian 32-bit integers."""
         if not text:
             return b""
-        if not self.cuts or ODD.search(text):
+        if not self.cuts or ODD.search(text) or self.added.search(text):
             return self.whole(text)
         if NO_CUT.search(text):
             first, *rest = CUT.split(text)
