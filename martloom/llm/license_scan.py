@@ -98,7 +98,9 @@ SENTENCES |= {
 }
 
 #: Licence, name of the rule, identifiers that must follow each other in this order. Others
-#: may stand between them. A licence's rules go from the fullest to the barest.
+#: may stand between them, but not before a version. A licence's rules go from the fullest to
+#: the barest.
+VERSION = "gnu-version"
 RULES = [
     (
         "Apache-2.0",
@@ -167,8 +169,11 @@ def identifiers(text: Column) -> Column:
 
 
 def rule_pattern(names: list[str]) -> str:
-    """Matches identifiers, each between spaces, that hold ``names`` in their order."""
-    return ".*".join(f" {name} " for name in names)
+    """Matches identifiers, each between spaces, that hold ``names`` in their order.
+
+    A version belongs to the grant right before it, whatever notices follow one another.
+    """
+    return ".*".join(f" {name} " for name in names).replace(f".* {VERSION}", f" {VERSION}")
 
 
 def decided(*readings: Column) -> Column:

@@ -14,7 +14,8 @@ def license_sql() -> str:
     known = ", ".join(f"({quoted(words)}, {quoted(name)})" for name, words in SENTENCES.items())
     cases: dict[str, list[str]] = {}
     for licence, rule, needs in RULES:
-        pattern = quoted(".*".join(f" {name} " for name in needs))
+        gaps = ["" if name.startswith("gnu-version") else ".*" for name in needs[1:]] + [""]
+        pattern = quoted("".join(f" {n} {g}" for n, g in zip(needs, gaps, strict=True)))
         cases.setdefault(licence, []).append(
             f"WHEN regexp_matches(a, {pattern}) OR regexp_matches(b, {pattern}) "
             f"THEN {quoted(f'{licence}:{rule}')}"

@@ -243,3 +243,23 @@ def test_notices_of_further_licences(spark):
     docs = odd_documents(spark, list(enumerate(rows.values())))
     found = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
     assert [found[i] for i in range(len(rows))] == list(rows)
+
+
+def gnu_notice(kind, version):
+    return (
+        f"This is free software; you can redistribute it and/or modify it under the terms of the "
+        f"GNU {kind}General Public License as published by the Free Software Foundation; either "
+        f"version {version} of the License, or (at your option) any later version.\n\n"
+    )
+
+
+def test_a_version_belongs_to_the_grant_before_it(spark):
+    """Notices after one another give their own licences and no others."""
+    kinds = {"GPL": "", "LGPL": "Lesser ", "AGPL": "Affero "}
+    known = {("GPL", "2"), ("GPL", "3"), ("LGPL", "2.1"), ("LGPL", "3"), ("AGPL", "3")}
+    pairs = [(a, b) for a in sorted(known) for b in sorted(known) if a != b]
+    rows = [(n, "".join(gnu_notice(kinds[k], v) for k, v in pair)) for n, pair in enumerate(pairs)]
+    found = {r.doc_id: r.licenses for r in scan_licenses(odd_documents(spark, rows)).collect()}
+    for n, pair in enumerate(pairs):
+        names = {x.partition(":")[0] for x in found[n].split(",")}
+        assert names == {f"{k}-{v if '.' in v else v + '.0'}" for k, v in pair}, pair
