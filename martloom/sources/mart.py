@@ -32,6 +32,9 @@ CURRENT_SCHEMA = (
 )
 # Small tables kept with a mart: distinct values per run, and states per snapshot.
 LISTED, BESIDE = "listed", "beside"
+# One row per run, written with its snapshot.
+AUDIT = "audit"
+AUDIT_SCHEMA = "inserted bigint, updated bigint, deleted bigint, rows bigint, before bigint"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -206,6 +209,7 @@ def publish_partitions(
     keys: Sequence[str] = (),
     listed: Mapping[str, Sequence[str]] = MappingProxyType({}),
     beside: Mapping[str, DataFrame] = MappingProxyType({}),
+    added: int | None = None,
     **conditions: Column,
 ) -> dict[str, int]:
     """Make ``df`` the rows of the ``touched`` partitions, and keep all others.
@@ -221,7 +225,9 @@ def publish_partitions(
     values of some columns by partition; and the small tables ``beside``.
 
     Returns what the run did, counted from its files: the rows written, those that meet
-    each condition, and the rows that the touched partitions had before.
+    each condition, and the rows that the touched partitions had before.  ``added``, the number
+    of rows that are new, gives those inserted and deleted too.  It is the run's row in the
+    audit; without it or a condition ``inserted`` a run counts as a replacement.
     """
     spark = df.sparkSession
     number = _next_run(spark, path)
@@ -261,12 +267,42 @@ def publish_partitions(
     before = old.join(gone, "partition", "left_semi").agg(F.sum("rows"))
     counts = fresh.agg(F.sum("rows"), *[F.sum(f"_{name}") for name in conditions]).first()
     seen = dict(zip(["rows", *conditions, "before"], [*counts, before.first()[0]], strict=True))
+    seen = {name: count or 0 for name, count in seen.items()}
+    if added is not None:
+        seen |= {"inserted": added, "deleted": seen["before"] + added - seen["rows"]}
     snapshot = _next_snapshot(spark, f"{path}/{CURRENT}")
+    audit = spark.createDataFrame([_audit_row(seen)], AUDIT_SCHEMA)
+    # A run that failed after this may have left the same snapshot's tables.
+    audit.write.mode("overwrite").parquet(f"{path}/{AUDIT}/{snapshot}")
     for name, table in beside.items():
-        # A run that failed after this may have left the same snapshot's table.
         table.write.mode("overwrite").parquet(f"{path}/{BESIDE}/{name}/{snapshot}")
     publish_snapshot(current.coalesce(1), f"{path}/{CURRENT}")
-    return {name: count or 0 for name, count in seen.items()}
+    return seen
+
+
+def _audit_row(seen: Mapping[str, int]) -> tuple[int, ...]:
+    added = seen.get("inserted", seen["rows"])
+    gone = seen["before"] + added - seen["rows"]
+    return added, seen.get("matched", 0), gone, seen["rows"], seen["before"]
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """What each run that became current inserted, updated and deleted; ``load`` counts from 1."""
+    done = [n for n, complete in _snapshots(spark, f"{path}/{CURRENT}") if complete]
+    schema = f"{AUDIT_SCHEMA}, load int"
+    if not done:
+        return empty_frame(spark, schema)
+    rows = spark.read.schema(AUDIT_SCHEMA).parquet(*[f"{path}/{AUDIT}/{n}" for n in done])
+    name = F.regexp_extract(F.input_file_name(), r"/snapshot-(\d+)/", 1)
+    return rows.withColumn("load", name.cast("int") + 1)
+
+
+def snapshot_audit(spark: SparkSession, root: str) -> DataFrame:
+    """What each whole replacement of ``root`` inserted and deleted, from the kept snapshots."""
+    done = [n for n, complete in _snapshots(spark, root) if complete]
+    counts = [spark.read.parquet(f"{root}/{n}").count() for n in done]
+    rows = [(n, now, old) for n, (now, old) in enumerate(zip(counts, [0, *counts]), 1)]
+    return spark.createDataFrame(rows, "load int, inserted bigint, deleted bigint")
 
 
 def remove_old_runs(spark: SparkSession, path: str) -> list[int]:

@@ -13,7 +13,7 @@ from martloom.operators.merge import (
     update_insert,
 )
 from martloom.session import scratch_folder, write_stage
-from martloom.sources.mart import publish_snapshot, read_snapshot
+from martloom.sources.mart import publish_snapshot, read_snapshot, snapshot_audit
 from registry import register, table
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -140,6 +140,21 @@ def full_replace(spark, folder):
     return read_snapshot(spark, root)
 
 
+@register(
+    "replace_audit",
+    f"""
+    WITH {SPLIT_SQL}, sizes AS (
+      SELECT (SELECT count(*) FROM target) AS t, (SELECT count(*) FROM delta) AS d)
+    SELECT 1 AS load, t AS inserted, 0 AS deleted FROM sizes UNION ALL SELECT 2, d, t FROM sizes""",
+)
+def replace_audit(spark, folder):
+    """What two whole replacements inserted and deleted."""
+    root = f"{scratch_folder(spark)}/replace-audit-{uuid.uuid4().hex}"
+    for table_ in _split(spark, folder):
+        publish_snapshot(table_, root)
+    return snapshot_audit(spark, root)
+
+
 @register(
     "refresh_attribute",
     """

@@ -1,13 +1,17 @@
 """Load windows and high-water marks."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from martloom.operators.load_window import (
+    check_window,
     global_high_water,
     in_closed_window,
     in_half_open_window,
     lookback_high_water,
     slowest_source_high_water,
+    window_has_rows,
 )
 from registry import register, table
 
@@ -86,3 +90,37 @@ def high_water_lookback(spark, folder):
 def high_water_empty(spark, folder):
     none = table(spark, folder, "events").filter("event_type = 'unheard of'")
     return global_high_water(none, "ts")
+
+
+def _told(check, *args):
+    try:
+        check(*args)
+    except ValueError as error:
+        return str(error)
+    return ""
+
+
+@register(
+    "window_validation",
+    f"""
+    WITH {BOUNDS_SQL}, edges AS (SELECT a, b, (SELECT max(ts) FROM events) AS z FROM bounds),
+    windows(window_nbr, starts, ends) AS (
+      SELECT unnest([1, 2, 3, 4]), unnest([least(a, b), z, greatest(a, b), a]),
+             unnest([greatest(a, b), z + INTERVAL 1 DAY, least(a, b), a]) FROM edges)
+    SELECT window_nbr, if(starts > ends, 'window start ' || strftime(starts, '%Y-%m-%d %H:%M:%S.%f')
+             || ' is after its end ' || strftime(ends, '%Y-%m-%d %H:%M:%S.%f'), '') AS error,
+           starts <= ends AND EXISTS (FROM events WHERE ts > starts AND ts <= ends) AS has_rows
+    FROM windows""",
+)
+def window_validation(spark, folder):
+    """The error of a window whose start is after its end, and whether a window has rows."""
+    events = table(spark, folder, "events").select("event_id", "ts")
+    bounds, last = sorted(_bounds(events)), events.agg(F.max("ts")).first()[0]
+    a = _bounds(events)[0]
+    windows = [bounds, (last, last + timedelta(days=1)), bounds[::-1], (a, a)]
+    rows = []
+    for number, window in enumerate(windows, 1):
+        error = _told(check_window, *window)
+        some = not error and window_has_rows(in_half_open_window(events, "ts", *window))
+        rows.append((number, error, some))
+    return spark.createDataFrame(rows, "window_nbr int, error string, has_rows boolean")

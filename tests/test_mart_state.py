@@ -17,6 +17,7 @@ from martloom.plans.pos_market import (
     run_market,
 )
 from martloom.plans.purchase_items import dates_in_window
+from martloom.session import scratch_folder
 from martloom.sources import key_index
 from martloom.sources.key_index import (
     build_key_index,
@@ -26,11 +27,14 @@ from martloom.sources.key_index import (
 )
 from martloom.sources.mart import (
     publish_partitions,
+    publish_snapshot,
+    read_audit,
     read_beside,
     read_current,
     read_listed,
     read_partitioned,
     remove_old_runs,
+    snapshot_audit,
     source_uploads,
 )
 from tests.test_pos_market import DAY, src  # noqa: F401
@@ -132,8 +136,16 @@ def test_lookup_neither_shuffles_the_index_nor_reads_the_mart(spark, tmp_path):
 def test_dates_of_a_window(spark, tmp_path):
     path = str(tmp_path / "mart")
     publish(rows(spark, *[("a", i, "x", at(i, 12)) for i in range(1, 8)], ("n", 1, "x", None)), path)
-    found = dates_in_window(read_current(spark, path), at(2, 12), at(5, 3)).collect()
+    found = dates_in_window(read_current(spark, path), at(2, 12), at(5, 3), "day").collect()
     assert sorted(r[0] for r in found) == [date(2024, 1, 3), date(2024, 1, 4), date(2024, 1, 5)]
+    months = str(tmp_path / "months")
+    first = F.trunc("u", "month")
+    some = [("a", 1, "x", at(9)), ("b", 1, "x", datetime(2024, 2, 3)), ("c", 1, "x", datetime(2024, 3, 1))]
+    publish(rows(spark, *some).withColumn("d", first), months)
+    found = dates_in_window(read_current(spark, months), at(31), datetime(2024, 2, 29)).collect()
+    assert [r[0] for r in found] == [date(2024, 2, 1)]
+    found = dates_in_window(read_current(spark, months), at(8), datetime(2024, 2, 1)).collect()
+    assert sorted(r[0] for r in found) == [date(2024, 1, 1), date(2024, 2, 1)]
 
 
 def test_watermarks_are_those_of_the_rows(spark, tmp_path):
@@ -222,3 +234,38 @@ def test_market_counts(spark, src, tmp_path):  # noqa: F811
     assert (first["inserted"], first["deleted"], first["rows"]) == (5, 0, 5)
     again = run_market(spark, path, src, DAY[0], DAY[1], DAY[11])
     assert again["inserted"] == 5 and again["deleted"] == 4
+
+
+def test_audit_rows_belong_to_snapshots(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "mart")
+    assert read_audit(spark, path).isEmpty()
+    publish(rows(spark, ("a", 1, "x", at(1)), ("b", 1, "x", at(2))), path, added=2)
+    with monkeypatch.context() as m:
+        m.setattr("martloom.sources.mart.publish_snapshot", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            publish(rows(spark, ("zz", 1, "x", at(1))), path, added=9)
+    assert publish(rows(spark, ("c", 1, "x", at(2))), path, added=1) == {
+        "rows": 1, "before": 1, "inserted": 1, "deleted": 1,
+    }
+    publish(rows(spark, ("d", 1, "x", at(2)), ("e", 1, "x", at(9))), path)
+    got = {r.load: (r.inserted, r.deleted, r.rows) for r in read_audit(spark, path).collect()}
+    assert got == {1: (2, 0, 2), 2: (1, 1, 1), 3: (2, 1, 2)}
+
+
+def test_audit_of_whole_replacements(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    for count in (3, 0, 5):
+        publish_snapshot(spark.range(count), root)
+    got = [tuple(r) for r in snapshot_audit(spark, root).orderBy("load").collect()]
+    assert got == [(1, 3, 0), (2, 0, 3), (3, 5, 0)]
+
+
+def test_local_scratch_folder_stays_the_same(spark, monkeypatch):
+    class WithoutSetting:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("Context", (), {"master": "local[2]"})
+
+    assert scratch_folder(WithoutSetting()) == scratch_folder(WithoutSetting())
+    WithoutSetting.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="shared folder"):
+        scratch_folder(WithoutSetting())

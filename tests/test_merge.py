@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators.merge import (
-    counted,
     refresh_attribute,
     replace_by_key,
     replace_window,
@@ -115,12 +114,6 @@ def test_refresh_attribute(spark):
     assert got == {"a": "new", "b": None, "c": "old", None: "old"}
 
 
-def test_counted(spark):
-    df, seen = counted(mart(spark), "audit", nulls=F.col("n").isNull())
-    df.collect()
-    assert seen.get == {"rows": 3, "nulls": 1}
-
-
 def test_snapshots(spark, tmp_path):
     root = str(tmp_path / "mart")
     assert read_snapshot(spark, root, SCHEMA).count() == 0
