@@ -21,6 +21,11 @@ held against their centres, and components of the links found are built: linear
 settles lists however long of true near copies. Members that are in another component than
 their centre are then compared with all members of its lists, in tiles of bounded size, each
 in one task, which gives only links between components.
+
+Whole sets are shipped only for what small sketches don't rule out. The sketch of a set has some
+two bits for a shingle: each shingle flips the bit that its hash names. Sketches of two sets
+differ in no more bits than the sets do in shingles, so a pair with more than a link allows is
+no link, and nothing else is decided by them. Sketches of double length are folded in half.
 """
 
 from __future__ import annotations
@@ -51,7 +56,9 @@ SPARE = 2
 #: The boundary between light and heavy sets is below this size.
 LARGEST_LIGHT = 40
 #: Members of a centre's lists on each side of a tile.
-TILE = 256
+TILE = 1024
+#: Bits of a sketch for each shingle, at least; the length is 64 times a power of two.
+SKETCH_BITS = 2
 #: Columns of a tile's matrix of shingles that are multiplied at once.
 STRIPE = 4096
 #: Words, and sets already seen, that a task keeps at once.
@@ -165,6 +172,28 @@ def subset_signatures(shingles: np.ndarray, share: tuple[int, int]) -> np.ndarra
     return np.concatenate(out)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Bits that are set where an odd number of shingles falls on them."""
+    blocks = -(-SKETCH_BITS * len(shingles) // 64)
+    bits = 64 << (blocks - 1).bit_length()
+    at = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(sketches: np.ndarray, length: int) -> np.ndarray:
+    """Sketches, one a row of 64-bit numbers, at a length that theirs is a multiple of."""
+    while sketches.shape[-1] > length:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
+def may_link(differing, sizes, share: tuple[int, int]):
+    """Whether sets with so many shingles together, and differing in so many or more, may link."""
+    part, of = share
+    return (of + part) * differing <= (of - part) * sizes
+
+
 def as_longs(arrays: list) -> pa.Array:
     """Lists of longs from arrays of unsigned hashes; None stays null."""
     return pa.array(
@@ -175,14 +204,14 @@ def as_longs(arrays: list) -> pa.Array:
 def summarised(
     batches: Iterator[pa.RecordBatch], share: tuple[int, int], n_words: int
 ) -> Iterator:
-    """Size, digest, list signatures and, of small sets, the shingles.
+    """Size, digest, list signatures, sketch and, of small sets, the shingles.
 
     Of equal sets that a task meets, the first carries signatures: a hot text costs one set of
     list entries for each task, not one for each copy.
     """
     words, seen = Words(), set()
     for batch in batches:
-        sizes, digests, lists, small = [], [], [], []
+        sizes, digests, lists, sketches, small = [], [], [], [], []
         for text in batch["text"].to_pylist():
             shingles = shingle_set(text, words, n_words)
             digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
@@ -193,6 +222,7 @@ def summarised(
             fresh = len(shingles) > 0 and digest not in seen
             seen.add(digest)
             lists.append(list_signatures(shingles, share) if fresh else None)
+            sketches.append(sketch(shingles) if fresh else None)
             small.append(shingles if fresh and len(shingles) < LARGEST_LIGHT else None)
         yield pa.RecordBatch.from_arrays(
             [
@@ -201,9 +231,10 @@ def summarised(
                 pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()),
                 as_longs(lists),
+                pa.array(sketches, pa.binary()),
                 as_longs(small),
             ],
-            ["key", "text_key", "size", "digest", "lists", "small"],
+            ["key", "text_key", "size", "digest", "lists", "sketch", "small"],
         )
 
 
@@ -221,7 +252,7 @@ def set_table(
         .mapInArrow(
             lambda batches: summarised(batches, share, n_words),
             f"key {kind}, text_key long, size long, digest binary, lists array<long>, "
-            "small array<long>",
+            "sketch binary, small array<long>",
         )
         .withColumn("row", F.monotonically_increasing_id()),
         "shingle-sets",
@@ -329,17 +360,37 @@ def whole_sets(
     return write_stage(found.dropDuplicates(["digest"]), "whole-sets")
 
 
+def close(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Pairs that may link by their sketches, without these."""
+    for batch in batches:
+        sizes = batch["size_a"].to_numpy() + batch["size_b"].to_numpy()
+        differing = np.zeros(len(sizes), np.int64)
+        ends = zip(batch["sketch_a"], batch["sketch_b"], strict=True)
+        for n, (a, b) in enumerate(ends):
+            a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+            length = min(len(a), len(b))
+            differing[n] = np.bitwise_count(folded(a, length) ^ folded(b, length)).sum()
+        stay = pa.array(may_link(differing, sizes, share))
+        yield batch.drop_columns(["sketch_a", "sketch_b"]).filter(stay)
+
+
 def sized(pairs: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs of rows (a, b) whose sizes allow a link, with sizes and digests, written."""
+    """Pairs of rows (a, b) whose sizes and sketches allow a link, with sizes and digests, written."""
     part, of = share
-    ends = nodes.select("row", "size", "digest")
+    ends = nodes.select("row", "size", "digest", "sketch")
     for end in ("a", "b"):
-        pairs = pairs.join(
-            ends.withColumnsRenamed({"row": end, "size": f"size_{end}", "digest": f"digest_{end}"}),
-            end,
-        )
+        names = {"row": end} | {name: f"{name}_{end}" for name in ("size", "digest", "sketch")}
+        pairs = pairs.join(ends.withColumnsRenamed(names), end)
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    return write_stage(pairs.where(of * least >= part * most), "pairs")
+    allowed = pairs.where(of * least >= part * most)
+    columns = "a long, b long, size_a long, digest_a binary, size_b long, digest_b binary"
+    names = [column.split()[0] for column in columns.split(", ")]
+    return write_stage(
+        allowed.select(*names, "sketch_a", "sketch_b").mapInArrow(
+            lambda batches: close(batches, share), columns
+        ),
+        "pairs",
+    )
 
 
 def linked(pairs: DataFrame, whole: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -413,7 +464,7 @@ def label_sum(labels: DataFrame) -> int:
 
 
 def tiles(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(centre, kind, i, j, row, component): what must still be compared, tile by tile.
+    """(centre, kind, i, j, row, component, far): what must still be compared, tile by tile.
 
     Far members, those of another component than their centre, meet each other and the near
     ones; near ones are in one component. The rows made are members times tiles, not pairs.
@@ -461,9 +512,42 @@ def tiles(members: DataFrame, found: DataFrame) -> DataFrame:
     ).otherwise(F.expr("cast(array() AS array<struct<kind:string,i:int,j:int>>)"))
     to_far = each("far_blocks", lambda k: tile("near", k, block))
     wanted = F.when(F.col("far"), F.concat(among_far, to_near)).otherwise(to_far)
-    return blocked.select("centre", "row", "component", F.explode(wanted).alias("tile")).select(
-        "centre", "tile.*", "row", "component"
-    )
+    return blocked.select(
+        "centre", "row", "component", "far", F.explode(wanted).alias("tile")
+    ).select("centre", "tile.*", "row", "component", "far")
+
+
+def tile_candidates(table: pa.Table, share: tuple[int, int]) -> pa.Table:
+    """The rows of a tile that may link to a row of another component, by size and sketch.
+
+    Rows are taken by size, and each is held against the larger ones that sizes allow. In a tile
+    of far and near rows, only one with the other.
+    """
+    part, of = share
+    table = table.sort_by("size")
+    size, label = table["size"].to_numpy(), table["component"].to_numpy()
+    far, near_tile = table["far"].to_numpy(), table["kind"][0].as_py() == "near"
+    sketches = table["sketch"].combine_chunks()
+    length = np.array([len(x.as_buffer()) // 8 for x in sketches])
+    last = np.searchsorted(size, size * of // part, side="right")
+    found = np.zeros(len(size), bool)
+    for words in np.unique(length).tolist():  # lengths ascend with the sizes
+        first, end = np.searchsorted(length, [words, words + 1])
+        block = np.empty((last[end - 1] - first, words), np.uint64)
+        for n in range(len(block)):
+            held = np.frombuffer(sketches[first + n].as_buffer(), np.uint64)
+            block[n] = folded(held, words)
+        for i in range(first, end):
+            others = np.arange(i + 1, last[i])
+            wanted = label[others] != label[i]
+            if near_tile:
+                wanted &= far[others] != far[i]
+            others = others[wanted]
+            differing = np.bitwise_count(block[others - first] ^ block[i - first]).sum(axis=1)
+            others = others[may_link(differing.astype(np.int64), size[others] + size[i], share)]
+            if len(others):
+                found[i] = found[others] = True
+    return table.filter(pa.array(found)).select(["centre", "kind", "i", "j", "row", "component"])
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -522,17 +606,34 @@ def find_components(
     nodes = write_stage(
         sets.where(F.col("lists").isNotNull())
         .join(members.select("row").distinct(), "row", "left_semi")
-        .select("row", "key", "text_key", "size", "digest"),
+        .select("row", "key", "text_key", "size", "digest", "sketch"),
         "nodes",
     )
-    whole = whole_sets(docs, nodes.select("key", "text_key"), key, text, n_words)
+
+    def whole(rows: DataFrame) -> DataFrame:
+        wanted = nodes.join(rows.distinct(), "row", "left_semi").select("key", "text_key")
+        return whole_sets(docs, wanted, key, text, n_words)
+
     spokes = members.where("row <> centre").select(F.col("centre").alias("a"), F.col("row").alias("b"))
-    links = write_stage(linked(sized(spokes, nodes, share), whole, share), "links")
+    pairs = sized(spokes, nodes, share)
+    open_rows = pairs.where("digest_a <> digest_b").select(F.explode(F.array("a", "b")).alias("row"))
+    links = write_stage(linked(pairs, whole(open_rows), share), "links")
     found = components(links)
-    shingled = nodes.select("row", "digest").join(whole, "digest").select("row", "shingles")
-    more = write_stage(
+    candidates = write_stage(
         tiles(members, found)
-        .join(shingled, "row")
+        .join(nodes.select("row", "size", "sketch"), "row")
+        .groupBy("centre", "kind", "i", "j")
+        .applyInArrow(
+            lambda table: tile_candidates(table, share),
+            "centre long, kind string, i int, j int, row long, component long",
+        ),
+        "tile-candidates",
+    )
+    if candidates.isEmpty():
+        return found
+    sets_of_rows = nodes.select("row", "digest").join(whole(candidates.select("row")), "digest")
+    more = write_stage(
+        candidates.join(sets_of_rows.select("row", "shingles"), "row")
         .groupBy("centre", "kind", "i", "j")
         .applyInArrow(lambda table: tile_links(table, share), "a long, b long"),
         "tile-links",
