@@ -345,17 +345,21 @@ def tokenised(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.Re
 
 
 def whole_sets(
-    docs: DataFrame, rows: DataFrame, key: str, text: str, n_words: int = SHINGLE_WORDS
+    docs: DataFrame, wanted: DataFrame, text: str, n_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """(digest, shingles) of the sets in ``rows`` (key, text_key), from their texts again."""
+    """(digest, shingles) of the sets of the texts in ``wanted`` (text_key), from these again.
+
+    ``wanted`` is a written table of one long a row, so the planner knows its size: below the
+    broadcast threshold the texts are not shuffled, beyond it they are, once.
+    """
     content = whole_text(own(docs, text))
-    texts = docs.select(
-        own(docs, key).alias("key"), F.xxhash64(content).alias("text_key"), content.alias("text")
-    )
-    same = texts["key"].eqNullSafe(rows["key"]) & (texts["text_key"] == rows["text_key"])
-    wanted = texts.join(rows, same, "left_semi").select("text")
-    found = wanted.mapInArrow(
-        lambda batches: tokenised(batches, n_words), "digest binary, shingles array<long>"
+    texts = docs.select(F.xxhash64(content).alias("text_key"), content.alias("text"))
+    found = (
+        texts.join(wanted, "text_key", "left_semi")
+        .select("text")
+        .mapInArrow(
+            lambda batches: tokenised(batches, n_words), "digest binary, shingles array<long>"
+        )
     )
     return write_stage(found.dropDuplicates(["digest"]), "whole-sets")
 
@@ -596,7 +600,6 @@ def tile_links(table: pa.Table, share: tuple[int, int]) -> pa.Table:
 def find_components(
     docs: DataFrame,
     sets: DataFrame,
-    key: str,
     text: str,
     share: tuple[int, int],
     n_words: int = SHINGLE_WORDS,
@@ -606,13 +609,13 @@ def find_components(
     nodes = write_stage(
         sets.where(F.col("lists").isNotNull())
         .join(members.select("row").distinct(), "row", "left_semi")
-        .select("row", "key", "text_key", "size", "digest", "sketch"),
+        .select("row", "text_key", "size", "digest", "sketch"),
         "nodes",
     )
 
     def whole(rows: DataFrame) -> DataFrame:
-        wanted = nodes.join(rows.distinct(), "row", "left_semi").select("key", "text_key")
-        return whole_sets(docs, wanted, key, text, n_words)
+        wanted = nodes.join(rows.distinct(), "row", "left_semi").select("text_key").distinct()
+        return whole_sets(docs, write_stage(wanted, "wanted-texts"), text, n_words)
 
     spokes = members.where("row <> centre").select(F.col("centre").alias("a"), F.col("row").alias("b"))
     pairs = sized(spokes, nodes, share)
@@ -649,7 +652,7 @@ def classes(
     Rows of empty sets have no label.
     """
     sets = set_table(docs, key, text, share, n_words)
-    found = find_components(docs, sets, key, text, share, n_words)
+    found = find_components(docs, sets, text, share, n_words)
     labels = write_stage(
         sets.where(F.col("lists").isNotNull())
         .select("row", "digest")
