@@ -3,7 +3,8 @@
 A text that repeats itself shrinks more than prose of its length, and one of random letters
 less. The zstandard ratio of the whole text, and of each chunk of fixed size, is held against
 limits that depend on the length: short texts shrink little, long ones more. Scripts of two or
-three bytes a letter shrink more for that alone, so the upper limit is one of bytes a code point.
+three bytes a letter shrink more for that alone, so the upper limit is one of code points, of which
+such a chunk holds fewer: their prose lies further below it.
 """
 
 from __future__ import annotations
@@ -24,26 +25,34 @@ CHUNK_BYTES = 4096
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
-#: From so many bytes on: the least ratio that prose has, and the greatest for a text of one byte
-#: a code point.
-BANDS = [
+#: From so many bytes on, of a whole text: the least ratio that prose has, and the most code points
+#: for a compressed byte.
+TEXT_BANDS = [
     (0, 0.0, 3.0),
-    (256, 1.2, 2.6),
-    (1024, 1.45, 2.9),
+    (256, 1.2, 2.1),
+    (512, 1.2, 2.3),
+    (1024, 1.45, 2.5),
     (4096, 1.75, 3.3),
     (16384, 1.9, 3.6),
     (65536, 1.95, 3.9),
     (1048576, 2.0, 4.5),
 ]
-STARTS = [start for start, _, _ in BANDS]
-#: Of the chunks of a text, this share may lie outside their band.
-ODD_CHUNKS = 0.25
+#: The same of a chunk. Its size is fixed but for the last one's, so the upper limits can lie
+#: close to prose, where those of whole texts can't: long prose shrinks as short repeats do.
+CHUNK_BANDS = [
+    (0, 1.45, 2.23),
+    (2560, 1.45, 2.26),
+    (3072, 1.45, 2.29),
+    (3584, 1.45, 2.33),
+    (4096, 1.75, 2.42),
+]
+#: Of a text's chunks, this share may shrink less than prose, and that share more.
+DENSE_CHUNKS, REPEATED_CHUNKS = 0.25, 0.5
 
 
-def fits(data: bytes, packed: int) -> bool:
-    _, least, most = BANDS[bisect_right(STARTS, len(data)) - 1]
-    points = max(1, len(data.decode(errors="ignore")))  # a chunk may begin inside of one
-    return least * packed <= len(data) and points <= most * packed
+def limits(bands: list[tuple[int, float, float]], size: int) -> tuple[float, float]:
+    _, least, most = bands[bisect_right(bands, size, key=lambda band: band[0]) - 1]
+    return least, most
 
 
 class Bands:
@@ -57,23 +66,33 @@ class Bands:
     def ratio(self, data: bytes) -> float:
         return len(data) / len(self.compress(data))
 
+    def outside(self, data: bytes, bands: list[tuple[int, float, float]]) -> tuple[bool, bool]:
+        """Whether the bytes shrink less than the band allows, and whether more."""
+        least, most = limits(bands, len(data))
+        packed = len(self.compress(data))
+        points = len(data.decode(errors="ignore"))  # a chunk may begin inside of one
+        return len(data) < least * packed, points > most * packed
+
     def accept(self, data: bytes) -> bool:
         """Whether the whole text and enough of its chunks lie in their bands.
 
-        A last chunk of under half the size goes with the one before it.
+        A last chunk of under half the size goes with the one before it. A text of under half
+        a chunk has none.
         """
         if not data:
             return True
-        if not fits(data, len(self.compress(data))):
+        if any(self.outside(data, TEXT_BANDS)):
             return False
-        count = max(1, (len(data) + CHUNK_BYTES // 2) // CHUNK_BYTES)
-        if count == 1:
+        count = (len(data) + CHUNK_BYTES // 2) // CHUNK_BYTES
+        if count == 0:
             return True
         edges = [*range(0, count * CHUNK_BYTES, CHUNK_BYTES), len(data)]
-        odd = 0
+        dense = repeated = 0
         for a, b in zip(edges, edges[1:], strict=False):
-            odd += not fits(data[a:b], len(self.compress(data[a:b])))
-        return odd <= ODD_CHUNKS * count
+            less, more = self.outside(data[a:b], CHUNK_BANDS)
+            dense += less
+            repeated += more
+        return dense <= DENSE_CHUNKS * count and repeated <= REPEATED_CHUNKS * count
 
 
 def repeated_words(words: list[bytes]) -> int:

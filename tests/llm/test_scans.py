@@ -213,14 +213,58 @@ def test_bands_accept_other_scripts_and_long_formal_prose():
     assert not bands.accept(cycle.encode())
 
 
-@pytest.mark.parametrize("name", ["MPL-2.0", "Apache-2.0"])
+@pytest.mark.parametrize("name", ["GPL-2", "GPL-3", "LGPL-2.1", "CC0-1.0"])
 def test_bands_accept_licences(name):
+    """Those of the formal texts here that repeat themselves more, MPL and Apache, go."""
     file = pathlib.Path("/usr/share/common-licenses", name)
     if not file.exists():
         pytest.skip("no such text here")
     assert quality_rules.Bands().accept(file.read_bytes())
 
 
+def verdict_by_hand(text):
+    """The bands once more: ratios of slices, limits found from the longest down."""
+    def beyond(data, bands):
+        packed = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(data))
+        start, least, most = max(band for band in bands if band[0] <= len(data))
+        points = sum(1 for byte in data if byte & 0xC0 != 0x80)
+        return [len(data) / packed < least, points / packed > most]
+
+    data = text.encode()
+    if not data:
+        return True
+    pieces = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+    if len(pieces) > 1 and len(pieces[-1]) < 2048:
+        pieces[-2:] = [pieces[-2] + pieces[-1]]
+    if len(data) < 2048:
+        pieces = []
+    found = [beyond(piece, quality_rules.CHUNK_BANDS) for piece in pieces]
+    dense, repeated = (sum(f[i] for f in found) for i in range(2))
+    return not any(beyond(data, quality_rules.TEXT_BANDS)) and (
+        4 * dense <= len(pieces) and 2 * repeated <= len(pieces)
+    )
+
+
+def test_verdict_by_hand_and_by_label(spark):
+    """Over whole tables: the verdict equals a second version of it, and follows the labels."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    quality = {
+        r.doc_id: r.quality
+        for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality").collect()
+    }
+    long = {0: [], 1: []}
+    for r in quality_rules.judge_documents(docs).collect():
+        text = texts[r.doc_id]
+        assert r.kept == (not r.base_failed and verdict_by_hand(text))
+        if not r.base_failed and len(text.encode()) >= 2048 and r.doc_id in quality:
+            long[quality[r.doc_id]].append(r.kept)
+    assert long[0] and long[1]
+    assert sum(long[0]) <= len(long[0]) / 2
+    assert sum(long[1]) >= 0.99 * len(long[1])
+
+
 def test_notices_of_further_licences(spark):
     gnu = (
         "This program is free software{} you can redistribute it and/or modify\nit under the terms "
