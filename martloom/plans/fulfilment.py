@@ -25,7 +25,7 @@ from martloom.operators.load_window import (
 )
 from martloom.operators.lookup import calendar_days, left_lookup
 from martloom.operators.merge import update_insert
-from martloom.session import write_stage
+from martloom.session import scoped_run, write_stage
 from martloom.sources.mart import (
     publish_partitions,
     read_partitioned,
@@ -183,6 +183,7 @@ def load_fulfilment(
     )
 
 
+@scoped_run
 def run_fulfilment(
     spark: SparkSession,
     mart_path: str,

@@ -1,22 +1,24 @@
 """Set hierarchies flattened to one row per node with the names of its levels.
 
 All roots grow together, one level per step.  A step is one join of the last level
-to the edges and one anti join against the earlier levels; its result is written to
-the shared folder, so the plan stays short and a lost executor costs one level.
+to the edges and one anti join against the earlier levels.  Both of these lie bucketed in the
+shared folder and are read in place; what is shuffled is the last level and the new one, each
+once.  The new one is appended, so the plan stays short and a lost executor costs one level.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.functions.keys import hash_key
 from martloom.operators.load_window import ntz_literal
 from martloom.operators.lookup import interval_lookup
-from martloom.session import write_stage
+from martloom.session import scoped_run
+from martloom.sources.bucketed import BucketedStage
+from martloom.sources.mart import publish_snapshot
 
 # Class of the roots, text language, deepest level, set types.
 ROOT_CLASS = "0101"
@@ -25,6 +27,9 @@ MAX_LEVELS = 20
 BASIC_TYPE = "B"
 LEAF_PARENT_TYPES = ["B", "S"]
 LEAF_TYPE = "X"
+# What the edges and the sets met so far are bucketed by.
+PARENT_KEYS = ["p_class", "p_sub", "p_name"]
+SEEN_KEYS = ["root", "set_key"]
 
 
 class LevelsExceeded(ValueError):
@@ -117,11 +122,7 @@ def _next_level(last: DataFrame, links: DataFrame, seen: DataFrame, level: int)
     )
     # Two parents on one level both keep a shared child; a set met on an earlier
     # level of its root is dropped, which also ends cycles.
-    return (
-        grown.withColumn("set_key", _set_key())
-        .join(seen, ["root", "set_key"], "left_anti")
-        .drop("set_key")
-    )
+    return grown.withColumn("set_key", _set_key()).join(seen, SEEN_KEYS, "left_anti")
 
 
 def expand_sets(src: HierarchySources, max_levels: int = MAX_LEVELS) -> DataFrame:
@@ -130,17 +131,26 @@ def expand_sets(src: HierarchySources, max_levels: int = MAX_LEVELS) -> DataFram
     Raises as soon as the deepest level has a row, with or without children.
     """
     sets = described_sets(src)
-    links = write_stage(edges(src, sets), "edges")
-    levels = [write_stage(_level_one(src, sets), "level")]
-    while True:
-        reached = len(levels) + 1
-        seen = reduce(DataFrame.unionAll, levels).select("root", _set_key().alias("set_key"))
-        grown = write_stage(_next_level(levels[-1], links, seen, reached), "level")
-        if grown.isEmpty():
-            return reduce(DataFrame.unionAll, levels)
-        if reached >= max_levels:
-            raise LevelsExceeded(f"a hierarchy has {max_levels} levels or more")
-        levels.append(grown)
+    first = _level_one(src, sets).withColumn("set_key", _set_key())
+    spark, known = first.sparkSession, edges(src, sets)
+    links = BucketedStage(spark, "edges", known.schema, PARENT_KEYS)
+    levels = BucketedStage(spark, "levels", first.schema, SEEN_KEYS)
+    try:
+        links.append(known.repartition(links.buckets, *PARENT_KEYS))
+        levels.append(first.repartition(levels.buckets, *SEEN_KEYS))
+        reached = 1
+        while True:
+            found = levels.table()
+            last = found.filter(F.col("level_nbr") == reached)
+            if last.isEmpty():
+                return levels.files().drop("set_key")
+            if reached > 1 and reached >= max_levels:
+                raise LevelsExceeded(f"a hierarchy has {max_levels} levels or more")
+            reached += 1
+            levels.append(_next_level(last, links.table(), found.select(*SEEN_KEYS), reached))
+    finally:
+        links.forget()
+        levels.forget()
 
 
 def valid_centres(src: HierarchySources, as_of: datetime) -> DataFrame:
@@ -218,3 +228,15 @@ def flatten_hierarchy(
         F.element_at("names", -1).alias("last_level_nm"),
         F.element_at("descs", -1).alias("last_level_desc"),
     )
+
+
+@scoped_run
+def run_hierarchy(
+    spark: SparkSession,
+    mart_path: str,
+    src: HierarchySources,
+    as_of: datetime,
+    max_levels: int = MAX_LEVELS,
+) -> str:
+    """Replace the mart below ``mart_path`` by the hierarchy as it is now; the new snapshot."""
+    return publish_snapshot(flatten_hierarchy(src, as_of, max_levels), mart_path)

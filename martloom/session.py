@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import logging
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings the load plans rely on; a cluster normally has them already.
 LOAD_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -66,18 +72,72 @@ def scratch_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+# Folders of the stages that the run at work has written; none outside of a run.
+_stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
+
+
+def new_stage_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder for an intermediate table; a run takes it for its own."""
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if (of_run := _stages.get()) is not None:
+        of_run.append(path)
+    return path
+
+
 def write_stage(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 
     The written files survive the loss of executors, and their size is known to
-    the planner of whatever reads them next.
+    the planner of whatever reads them next.  Within ``run_scope`` they go when the run ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
+
+
+@contextlib.contextmanager
+def run_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the stages written inside when the block ends well.
+
+    After an error they stay where they are, for repair, and their paths are logged.  Frames
+    over stages can't be read once the block has ended: it must write or publish its result.
+    A run inside of another leaves its stages to the outer one.
+    """
+    outer = _stages.get()
+    if outer is not None:
+        yield outer
+        return
+    paths: list[str] = []
+    token = _stages.set(paths)
+    try:
+        yield paths
+    except BaseException:
+        log.warning("stages of a run that failed: %s", ", ".join(paths) or "none")
+        raise
+    finally:
+        _stages.reset(token)
+    for path in paths:
+        remove_folder(spark, path)
+
+
+def scoped_run(function: Callable) -> Callable:
+    """A run, its session the first argument, whose stages are removed after publishing."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args, **kwargs):
+        with run_scope(spark):
+            return function(spark, *args, **kwargs)
+
+    return run
+
+
 def new_mart_path(spark: SparkSession) -> str:
     """A path in the shared folder for a mart that begins empty."""
     return f"{scratch_folder(spark)}/mart-{uuid.uuid4().hex}"
