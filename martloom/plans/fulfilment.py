@@ -27,6 +27,7 @@ from martloom.operators.lookup import calendar_days, left_lookup
 from martloom.operators.merge import update_insert
 from martloom.session import scoped_run, write_stage
 from martloom.sources.mart import (
+    merge_partitions,
     publish_partitions,
     read_partitioned,
     read_partitions,
@@ -243,3 +244,10 @@ def read_fulfilment(spark: SparkSession, mart_path: str) -> DataFrame:
     """The mart that ``run_fulfilment`` keeps."""
     stored = read_partitioned(spark, mart_path, STORED_SCHEMA, ORDER_MONTH)
     return stored.drop(ORDER_MONTH)
+
+
+def merge_fulfilment(spark: SparkSession, mart_path: str, most: int = 8) -> list[str]:
+    """Merge the months that lie in more than ``most`` runs, as rows without a date do."""
+    return merge_partitions(
+        spark, mart_path, STORED_SCHEMA, ORDER_MONTH, most, uploaded="kortex_upld_ts"
+    )

@@ -11,7 +11,7 @@ and what later runs replaced, is in no snapshot and can be removed at any time.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -305,6 +305,64 @@ def snapshot_audit(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "load int, inserted bigint, deleted bigint")
 
 
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    column: str,
+    most: int = 8,
+    uploaded: str | None = None,
+    source: str | None = None,
+    keys: Sequence[str] = (),
+    reduce: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[str]:
+    """Write partitions whose rows lie in more than ``most`` runs again, as one run.
+
+    Rows that match nothing, such as those without a date, are added by each run, and with them
+    an entry of the snapshot and some small files.  This is a run of its own, so no load
+    pays for it, and a partition is written again once in ``most`` loads only.  Readers of
+    older snapshots keep their files until ``remove_old_runs``.
+
+    ``uploaded``, ``source`` and ``keys`` are those that the mart is published with; listed
+    values and the tables beside the snapshot are found and carried on.  ``reduce`` makes
+    fewer rows of the merged ones.  Returns the names of the merged partitions.
+    """
+    current = read_current(spark, path).select("partition", RUN)
+    crowded = current.groupBy("partition").count().filter(F.col("count") > most)
+    names = sorted(r.partition for r in crowded.collect())
+    if not names:
+        return []
+    touched = partition_dates(spark.createDataFrame([(n,) for n in names], "partition string"), column)
+    rows = read_partitions(spark, path, schema, column, touched)
+    listed = {
+        name: [
+            c
+            for c in spark.read.parquet(f"{path}/{LISTED}/{name}").columns
+            if c not in ("partition", RUN)
+        ]
+        for name in folder_names(spark, f"{path}/{LISTED}")
+    }
+    newest = [n for n, done in _snapshots(spark, f"{path}/{CURRENT}") if done][-1]
+    beside = {
+        name: spark.read.parquet(f"{path}/{BESIDE}/{name}/{newest}")
+        for name in folder_names(spark, f"{path}/{BESIDE}")
+        if exists(spark, f"{path}/{BESIDE}/{name}/{newest}")
+    }
+    publish_partitions(
+        reduce(rows) if reduce else rows,
+        path,
+        column,
+        touched,
+        uploaded=uploaded,
+        source=source,
+        keys=keys,
+        listed=listed,
+        beside=beside,
+        added=0,
+    )
+    return names
+
+
 def remove_old_runs(spark: SparkSession, path: str) -> list[int]:
     """Delete run folders that the snapshot names nowhere; not while a run or a reader of an
     older snapshot is at work."""

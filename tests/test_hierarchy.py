@@ -4,11 +4,21 @@ from datetime import datetime
 import pytest
 
 from martloom.plans.hierarchy import (
+    PARENT_KEYS,
+    SEEN_KEYS,
     HierarchySources,
     LevelsExceeded,
+    _level_one,
+    _next_level,
+    _set_key,
+    described_sets,
+    edges,
     expand_sets,
     flatten_hierarchy,
+    run_hierarchy,
 )
+from martloom.sources.bucketed import BucketedStage
+from martloom.sources.mart import read_snapshot
 
 AS_OF = datetime(2024, 1, 1)
 APPLICATION = """setclass string, subclass string, setname string, appl_nm string, qualfr string,
@@ -169,3 +179,42 @@ def test_flattened_rows(spark):
         ("X", 3, "r", "basic", "0020", "E 0020"),
         ("X", 3, "r", "single", "0020", "E 0020"),
     ]
+
+
+def test_a_level_is_shuffled_once_and_earlier_ones_never(spark):
+    src = sources(spark, [("r", "K")], {"r": "S", "a": "S"}, [("r", "a")])
+    sets = described_sets(src)
+    first = _level_one(src, sets).withColumn("set_key", _set_key())
+    known = edges(src, sets)
+    links = BucketedStage(spark, "edges", known.schema, PARENT_KEYS)
+    levels = BucketedStage(spark, "levels", first.schema, SEEN_KEYS)
+    links.append(known)
+    levels.append(first)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = levels.table()
+        grown = _next_level(
+            found.filter("level_nbr = 1"), links.table(), found.select(*SEEN_KEYS), 2
+        )
+        plan = grown._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        links.forget()
+        levels.forget()
+    # The last level to the edges, the new one to those met before.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Exchange") == 2
+
+
+def test_no_roots_and_whole_runs(spark, tmp_path):
+    none = sources(spark, [("elsewhere", "K")], {"r": "S"}, [("r", "r")])
+    assert expanded(none) == []
+    src = sources(
+        spark, [("r", "K")], {"r": "S", "a": "B"}, [("r", "a")],
+        leaves=[("a", "I", "EQ", "c1", None)],
+    )
+    path = str(tmp_path / "mart")
+    run_hierarchy(spark, path, src, AS_OF)
+    want = sorted(map(str, flatten_hierarchy(src, AS_OF).collect()))
+    assert sorted(map(str, read_snapshot(spark, path).collect())) == want

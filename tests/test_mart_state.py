@@ -1,6 +1,7 @@
 """Key index, watermarks, listed values and states beside a mart's snapshot."""
 
 import dataclasses
+import os
 from datetime import date, datetime
 
 import pytest
@@ -17,7 +18,7 @@ from martloom.plans.pos_market import (
     run_market,
 )
 from martloom.plans.purchase_items import dates_in_window
-from martloom.session import scratch_folder
+from martloom.session import run_scope, scratch_folder, write_stage
 from martloom.sources import key_index
 from martloom.sources.key_index import (
     build_key_index,
@@ -26,6 +27,7 @@ from martloom.sources.key_index import (
     rewrite_key_index,
 )
 from martloom.sources.mart import (
+    merge_partitions,
     publish_partitions,
     publish_snapshot,
     read_audit,
@@ -260,6 +262,67 @@ def test_audit_of_whole_replacements(spark, tmp_path):
     assert got == [(1, 3, 0), (2, 0, 3), (3, 5, 0)]
 
 
+def test_merging_bounds_the_entries_and_keeps_what_is_known(spark, tmp_path):
+    path, count = str(tmp_path / "mart"), 7
+    nobody = spark.createDataFrame([], "d date")
+    states = {"state": spark.createDataFrame([("s",)], "v string")}
+    for n in range(count):
+        some = rows(spark, (f"k{n}", 1, "x", None), (f"l{n}", 1, "y", at(n + 1)))
+        publish(some, path, nobody, beside=states)
+    older = read_partitioned(spark, path, SCHEMA, "d")
+    before = sorted(map(str, older.collect()))
+    marks = sorted(map(str, source_uploads(spark, path, "s").distinct().collect()))
+    places_before = places(spark, path, ("l3", 1), ("k3", 1))
+    facts = {"uploaded": "u", "source": "s", "keys": KEYS}
+    assert merge_partitions(spark, path, SCHEMA, "d", most=count, **facts) == []
+    merged = merge_partitions(spark, path, SCHEMA, "d", most=3, **facts)
+    assert merged == ["__HIVE_DEFAULT_PARTITION__"]
+    current = read_current(spark, path)
+    assert current.count() == 1 + count
+    assert sorted(map(str, older.collect())) == before
+    assert sorted(map(str, read_partitioned(spark, path, SCHEMA, "d").collect())) == before
+    assert sorted(map(str, source_uploads(spark, path, "s").distinct().collect())) == marks
+    assert places(spark, path, ("l3", 1), ("k3", 1)) == places_before
+    assert {r.s for r in read_listed(spark, path, "sources", "s string").collect()} == {"x", "y"}
+    assert [r.v for r in read_beside(spark, path, "state", "v string").collect()] == ["s"]
+    last = read_audit(spark, path).orderBy(F.desc("load")).first()
+    assert (last.inserted, last.updated, last.deleted, last.rows) == (0, 0, 0, count)
+    removed = remove_old_runs(spark, path)
+    assert removed == []  # each run still holds a date of its own
+    assert sorted(map(str, read_partitioned(spark, path, SCHEMA, "d").collect())) == before
+
+
+def test_stages_go_with_the_run_and_stay_after_an_error(spark, tmp_path):
+    def there(paths):
+        return [os.path.exists(p.removeprefix("file:")) for p in paths]
+
+    outside = write_stage(spark.range(3), "outside")
+    with run_scope(spark) as paths:
+        write_stage(spark.range(3), "one")
+        with run_scope(spark):
+            inner = write_stage(spark.range(4), "two")
+        assert inner.count() == 4 and there(paths) == [True, True]
+    assert len(paths) == 2 and there(paths) == [False, False]
+    with pytest.raises(ZeroDivisionError), run_scope(spark) as kept:
+        write_stage(spark.range(3), "three")
+        1 / 0
+    assert there(kept) == [True]
+    assert spark.read.parquet(*kept).count() == 3 and outside.count() == 3
+
+
+def test_a_load_leaves_no_stages(spark, src, tmp_path, monkeypatch):  # noqa: F811
+    scratch, path = tmp_path / "scratch", str(tmp_path / "mart")
+    monkeypatch.setattr("martloom.session.scratch_folder", lambda spark: str(scratch))
+    with monkeypatch.context() as m:
+        m.setattr("martloom.sources.mart.publish_snapshot", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_market(spark, path, src, UNSET_START, DAY[1], DAY[9])
+    assert any(n.startswith("weekly-delta") for n in os.listdir(scratch))
+    failed = set(os.listdir(scratch))
+    run_market(spark, path, src, UNSET_START, DAY[1], DAY[9])
+    assert set(os.listdir(scratch)) == failed
+
+
 def test_local_scratch_folder_stays_the_same(spark, monkeypatch):
     class WithoutSetting:
         conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
