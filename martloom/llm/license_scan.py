@@ -145,12 +145,30 @@ RULES = [
     ("Proprietary", "reserved", ["rights-reserved"]),
 ]
 
+# SPDX tags, of every licence above but the reserved rights; those of the GNU say whether later
+# versions count, too.
+for _licence in dict.fromkeys(licence for licence, _, _ in RULES if licence != "Proprietary"):
+    for _end in ["", "-only", "-or-later"] if "GPL" in _licence else [""]:
+        _tag = f"{_licence}{_end}".lower().replace(".", "-")
+        SENTENCES[f"spdx-{_tag}"] = f"spdx license identifier {_tag.replace('-', ' ')}"
+        RULES.append((_licence, f"spdx{_end}", [f"spdx-{_tag}"]))
+
+#: A tag's colon would cut it in two.
+TAG, JOINED_TAG = r"(?i)SPDX-License-Identifier:[\x20\t]*", "SPDX-License-Identifier "
+#: What is licensed, in up to four words, and the words that all such sentences are brought to.
+SUBJECT = "^([a-z0-9]+ ){1,4}(is|are) (licensed|released|available) under "
+GRANT = "licensed under "
+#: Sentences that begin so grant nothing, or not for sure.
+NO_GRANT = r"^(if|unless|when|where|whether|no|none|nothing|neither|not)\b"
 #: Where a sentence ends.
 ENDS = r"[.!?;:]+[\x20\x09-\x0D]+|[.!?;:]+$|\n+"
 #: A line end that is no paragraph's end.
 SOFT_ENDS = r"(?<!\n)\n(?!\n)"
 #: Every known sentence holds one of these words, in any case.
-HINT = "(?i)licen[sc]|permi(t|ss)|software|warrant|redistribut|copyright|reserved|program"
+HINT = (
+    "(?i)licen[sc]|permi(t|ss)|software|warrant|redistribut|copyright|reserved|program"
+    "|released|available"
+)
 
 
 def sentences(text: Column) -> Column:
@@ -162,9 +180,17 @@ def sentences(text: Column) -> Column:
 
 
 def identifiers(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
+    """Identifiers of the known sentences of a text, in order.
+
+    A sentence that isn't known as it stands counts as the one without what it speaks of.
+    """
     known = F.create_map(*[F.lit(x) for name, words in SENTENCES.items() for x in (words, name)])
-    found = F.transform(sentences(text), lambda s: F.try_element_at(known, s))
+
+    def name(s: Column) -> Column:
+        general = F.when(~s.rlike(NO_GRANT), F.regexp_replace(s, SUBJECT, GRANT))
+        return F.coalesce(F.try_element_at(known, s), F.try_element_at(known, general))
+
+    found = F.transform(sentences(F.regexp_replace(text, TAG, JOINED_TAG)), name)
     return F.filter(found, lambda name: name.isNotNull())
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from martloom.llm.license_scan import RULES, SENTENCES
+import re
+
+from martloom.llm.license_scan import GRANT, JOINED_TAG, NO_GRANT, RULES, SENTENCES, SUBJECT, TAG
 
 
 def quoted(text: str) -> str:
@@ -27,16 +29,23 @@ def license_sql() -> str:
         r"lambda p: replace(p, chr(10), ' ')), chr(10))"
     )
 
+    as_they_stand = ", ".join(quoted(w) for w in SENTENCES.values() if re.match(SUBJECT, w))
+
     def names(text: str) -> str:
         return f"""(
           SELECT coalesce(list(name ORDER BY place), []) FROM (
-            SELECT unnest(parts) AS part, generate_subscripts(parts, 1) AS place
-            FROM (SELECT string_split_regex({text}, {ends}) AS parts))
-          JOIN known ON words = trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')))"""
+            SELECT trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS s, place FROM (
+              SELECT unnest(parts) AS part, generate_subscripts(parts, 1) AS place
+              FROM (SELECT string_split_regex({text}, {ends}) AS parts)))
+          JOIN known ON words = CASE
+            WHEN s IN ({as_they_stand}) OR regexp_matches(s, {quoted(NO_GRANT)}) THEN s
+            ELSE regexp_replace(s, {quoted(SUBJECT)}, {quoted(GRANT)}) END)"""
 
     return f"""
     WITH known(words, name) AS (VALUES {known}),
-    texts AS (SELECT doc_id, coalesce(text, '') AS content FROM documents),
+    texts AS (
+      SELECT doc_id, regexp_replace(coalesce(text, ''), {quoted(TAG)}, {quoted(JOINED_TAG)}, 'g')
+               AS content FROM documents),
     found AS (
       SELECT doc_id, {names('content')} AS lines, {names(paragraphs)} AS joined FROM texts),
     spaced AS (

@@ -5,11 +5,13 @@ import re
 import secrets as random_secrets
 from collections import Counter
 
+import duckdb
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from martloom.llm import quality_rules, secret_scan
+from martloom.llm.oracles import license_sql
 from martloom.llm.license_scan import ENDS, HINT, RULES, SENTENCES, scan_licenses
 from tests.llm.odd import COLUMNS, ROWS, no_documents, odd_documents, prose, table
 
@@ -289,6 +291,45 @@ def test_notices_of_further_licences(spark):
     assert [found[i] for i in range(len(rows))] == list(rows)
 
 
+def test_tags_and_other_subjects(spark):
+    rows = {
+        "# SPDX-License-Identifier: MIT\nimport os": "MIT:spdx",
+        "// spdx-license-identifier:\tApache-2.0\n": "Apache-2.0:spdx",
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0:spdx-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1:spdx-only",
+        "SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause:spdx",
+        "SPDX-License-Identifier: WTFPL": "",
+        "SPDX-License-Identifier:": "",
+        "The package is licensed under the MIT License.": "MIT:reference",
+        "Foo is licensed under the Apache License, Version 2.0.": "Apache-2.0:reference",
+        "All of our examples are released under CC BY 4.0.": "CC-BY-4.0:reference",
+        "This project is licensed under the MIT License.": "MIT:project",
+        "If it is licensed under the MIT License, say so.": "",
+        "Nothing is licensed under the MIT License.": "",
+        "It is not licensed under the MIT License.": "",
+    }
+    docs = odd_documents(spark, list(enumerate(rows)))
+    found = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
+    assert [found[i] for i in range(len(rows))] == list(rows.values())
+
+
+def test_sql_counterpart_on_notices(spark, tmp_path):
+    """The SQL gives the same on notices, tags and sentences that no test table holds."""
+    subjects = ["", "This work is ", "Foo is ", "If foo is ", "the five small words here are "]
+    verbs = ["licensed under ", "released under ", "available under "]
+    ends = ["the MIT License.", "CC BY 4.0", "the Apache License, Version 2.0; more", "CC0 1.0 Universal."]
+    texts = [f"Some words.\n{a}{b}{c}\n" for a in subjects for b in verbs for c in ends]
+    texts += [f"SPDX-License-Identifier: {x}\ny" for x in ("MIT", "GPL-3.0+", "ISC OR MIT", "CC0-1.0")]
+    docs = table(spark, list(enumerate([*texts, None, ""])))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(license_sql()).fetchall()
+    got = [tuple(r) for r in scan_licenses(docs).collect()]
+    assert sorted(got) == sorted(want)
+    assert len({r[3] for r in got}) > 8
+
+
 def gnu_notice(kind, version):
     return (
         f"This is free software; you can redistribute it and/or modify it under the terms of the "
