@@ -176,11 +176,18 @@ def load_fulfilment(
     delta = write_stage(
         fulfilment_delta(
             staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
-        ),
+        ).drop("hash_key"),
         "fulfilment-delta",
     )
     return update_insert(
-        target, delta, KEYS, UPDATED, as_of, created="kortex_cre_ts", updated="kortex_updt_ts"
+        target,
+        delta,
+        KEYS,
+        UPDATED,
+        as_of,
+        created="kortex_cre_ts",
+        updated="kortex_updt_ts",
+        computed={"hash_key": hash_key(*HASH_PARTS)},
     )
 
 
@@ -211,7 +218,9 @@ def run_fulfilment(
     delta = write_stage(
         fulfilment_delta(
             staging, distribution_centres, items, calendar, start, to_dt, as_of, fix
-        ).withColumn(ORDER_MONTH, month),
+        )
+        .drop("hash_key")
+        .withColumn(ORDER_MONTH, month),
         "fulfilment-delta",
     )
     touched = write_stage(
@@ -226,6 +235,7 @@ def run_fulfilment(
         as_of,
         created="kortex_cre_ts",
         updated="kortex_updt_ts",
+        computed={"hash_key": hash_key(*HASH_PARTS)},
     )
     stamp = ntz_literal(as_of)
     new = F.col("kortex_cre_ts") == stamp
@@ -235,6 +245,7 @@ def run_fulfilment(
         ORDER_MONTH,
         touched,
         uploaded="kortex_upld_ts",
+        computed={"hash_key": hash_key(*HASH_PARTS)},
         inserted=new,
         matched=~new & (F.col("kortex_updt_ts") == stamp),
     )

@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 
 import pytest
@@ -9,6 +10,7 @@ from martloom.operators.merge import (
     replace_window,
     update_insert,
 )
+from martloom.session import write_stage
 from martloom.sources.mart import (
     publish_partitions,
     publish_snapshot,
@@ -200,3 +202,33 @@ def test_update_of_a_small_delta_does_not_shuffle_the_target(spark, tmp_path):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_computed_columns_are_neither_staged_nor_shuffled(spark, tmp_path, monkeypatch):
+    """A stored value that its expression doesn't give is kept."""
+    double = {"twice": F.col("n") * 2}
+    rows = [("2020-01-01", 1, 2), ("2020-01-01", 2, 5), ("2020-01-02", None, 7), (None, 3, None)]
+    df = spark.createDataFrame(rows, "day string, n int, twice int").withColumn(
+        "day", F.to_date("day")
+    )
+    monkeypatch.setattr("martloom.session.scratch_folder", lambda _: str(tmp_path / "stages"))
+    staged = write_stage(df, "stage", double)
+    (folder,) = (tmp_path / "stages").iterdir()
+    assert spark.read.parquet(str(folder)).columns == ["day", "n"]
+    assert {(r.n, r.twice) for r in staged.collect()} == {(1, 2), (2, 4), (None, None), (3, 6)}
+    path = str(tmp_path / "mart")
+    publish_partitions(df, path, "day", computed=double)
+    stored = read_partitioned(spark, path, df.schema, "day").collect()
+    assert sorted(map(str, stored)) == sorted(map(str, df.collect()))
+
+
+def test_update_takes_only_the_updated_columns_to_the_target(spark):
+    target = mart(spark).withColumn("passed", F.lit("p"))
+    made = {"passed": F.concat(F.lit("p"), "k")}
+    new = delta(spark, ("a", 1, "x"), ("d", 1, "new"))
+    got = update_insert(target, new, as_of=DAY[5], **RUN, computed=made).collect()
+    assert {(r.k, r.v, r.passed) for r in got} >= {("a", "x", "p"), ("d", "new", "pd")}
+    out = update_insert(target, target, as_of=DAY[5], **RUN)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    packed = re.findall(r"struct\(([^()]*)\) AS new#", plan)
+    assert packed and not any("passed" in columns for columns in packed)
