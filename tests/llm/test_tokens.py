@@ -32,6 +32,28 @@ def test_chunks_give_the_ids_of_whole_texts(library):
         assert np.frombuffer(encode(text), "<u4").tolist() == library(text), repr(text)
 
 
+def test_texts_together_give_the_ids_of_each(library):
+    """Words before runs of marks, numbers, shared chunks, odd texts among plain ones, small tables."""
+    draw = random.Random(4)
+    pieces = [*PIECES, *"été ñandú. x;.. a\nb,\nc d's don't 12 3.5 e<|endoftext|> ((f)) \\g [h]".split(" ")]
+    texts = [" ".join(draw.choices(pieces, k=draw.randrange(14))) for _ in range(3000)]
+    texts += ["", " ", "\n a", "a \x1cb", "plain words, twice. plain words, twice.", "x" * 60 + " y"]
+    encode = TextEncoder(BYTE_BPE)
+    assert encode.chunks.joined
+    for found, text in zip(encode.each(texts), texts, strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == library(text), repr(text)
+    assert list(encode.each(texts)) == [encode(text) for text in texts]
+
+
+def test_plain_chunks_are_merged_in_few_calls():
+    encode = TextEncoder(BYTE_BPE)
+    calls, merge = [], encode.chunks.merge
+    encode.chunks.merge = lambda letters: calls.append(letters) or merge(letters)
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}plain" for i in range(640)]
+    list(encode.each([" ".join(words), " ".join(words[::-1])]))
+    assert len(calls) < 20
+
+
 def test_files_read_back(spark, library):
     folder = token_files.new_folder(spark)
     token_files.write_token_files(odd_documents(spark), folder, BYTE_BPE, 2)
