@@ -79,3 +79,16 @@ def test_documents_there_and_back(spark):
     key = lambda x: (x[0] or 0, x[1])
     want = [(k, t or "") for k, t in ROWS]
     assert sorted(((r.doc_id, r.text) for r in texts), key=key) == sorted(want, key=key)
+
+
+def test_lattice_is_walked_by_letters(machine):
+    """Pieces come from the states' tables; nothing is sliced out of the text to be looked up."""
+
+    class Letters(str):
+        def __getitem__(self, at):
+            assert isinstance(at, int)
+            return super().__getitem__(at)
+
+    for word in ("▁the", "▁unbelievable", "▁a日b", "x" * 30):
+        assert machine.merge_path(Letters(word)) == machine.merge_path(word)
+        assert "".join(machine.merge_path(word)) == word
