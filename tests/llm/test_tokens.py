@@ -143,6 +143,18 @@ def test_index_scores_are_bm25():
         assert np.allclose(index.scores(doc), want)
 
 
+def test_terms_with_long_lists_score_as_others_do():
+    """Twenty terms in most of 500 documents: a matrix for these, lists for the rest."""
+    draw = np.random.default_rng(5)
+    ids = [draw.integers(0, 20 + 300 * (i % 3), 80).astype(np.uint32) for i in range(500)]
+    index = Index(ids)
+    assert index.long is not None and any(map(len, index.short))
+    assert sum(map(len, index.short)) < sum(map(len, index.queries))
+    for doc in (0, 1, 2, 499):
+        want = bm25(index.queries[doc].tolist(), [d.tolist() for d in ids])
+        assert np.allclose(index.scores(doc), want)
+
+
 def test_neighbours_of_one_subject_share_windows():
     draw = np.random.default_rng(2)
     ids = [draw.integers(100 * (i % 4), 100 * (i % 4) + 60, 200).astype(np.uint32) for i in range(80)]
