@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martloom.llm import jaccard_join as jj
@@ -148,3 +149,15 @@ def test_members_that_link_only_among_themselves(spark, monkeypatch, n_words, sh
     found = jj.jaccard_components(odd_documents(spark, rows), share=share, n_words=n_words).collect()
     assert sorted(tuple(r) for r in found) == sorted(by_hand(rows, *share, n_words))
     assert 12 <= len({r.component_id for r in found}) < len(rows)
+
+
+def test_workers_take_few_rows_of_a_batch_at_once():
+    rows = [f"w{i % 700} x{i % 900} y z" for i in range(3000)]
+    batch = pa.RecordBatch.from_pydict(
+        {"key": list(range(3000)), "text_key": list(range(3000)), "text": rows}
+    )
+    found = list(jj.summarised([batch], jj.SHARE, 3))
+    assert max(b.num_rows for b in found) <= 1024
+    assert [k for b in found for k in b["key"].to_pylist()] == list(range(3000))
+    texts = list(jj.tokenised([batch.select(["text"])], 3))
+    assert max(b.num_rows for b in texts) <= 1024 and sum(b.num_rows for b in texts) == 3000
