@@ -5,12 +5,14 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from martloom.operators.lookup import (
+    LOOKUP_PARTITIONS,
     calendar_lookup,
     flag_member,
     interval_lookup,
     left_lookup,
     not_in_list,
     unique_lookup,
+    unique_rows,
 )
 
 
@@ -116,3 +118,34 @@ def test_unique_lookup(spark):
     bad = spark.createDataFrame([("twice",)], "k string")
     with pytest.raises(Exception, match="more than one row"):
         unique_lookup(bad, dim, [("k", "k")], "v", "out").collect()
+
+
+def test_unique_lookup_combines_after_the_shuffle(spark):
+    """No task holds the keys of its whole input, however few tasks read the dimension."""
+    dim = spark.range(0, 50_000, numPartitions=1).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    plan = unique_rows(dim, ["k"], "v")._jdf.queryExecution().sparkPlan().toString()
+    lines = [line for line in plan.splitlines() if "Aggregate" in line or "Exchange" in line]
+    assert "Exchange" in lines[-1] and "Aggregate" not in lines[-1]
+    assert unique_rows(dim, ["k"], "v").rdd.getNumPartitions() == LOOKUP_PARTITIONS
+
+
+def test_unique_lookup_of_null_keys(spark):
+    facts = spark.createDataFrame([("a", "x"), ("a", None), (None, None)], "k string, u string")
+    dim = spark.createDataFrame(
+        [("a", "x", 1), ("a", None, 2), ("a", None, 3), (None, None, 4)], "k string, u string, v int"
+    )
+    on = [("k", "k"), ("u", "u")]
+    got = [tuple(r) for r in unique_lookup(facts, dim, on, "v", "out").collect()]
+    assert sorted(got, key=str) == [("a", "x", 1), ("a", None, None), (None, None, None)]
+
+
+def test_unique_lookup_is_not_broadcast_on_a_guess(spark, tmp_path):
+    """A small file whose rows are exploded keeps a small estimate."""
+    path = str(tmp_path / "part")
+    spark.range(1000).write.parquet(path)
+    dim = spark.read.parquet(path).select(F.explode(F.sequence("id", F.col("id") + 9)).alias("k"))
+    facts = spark.read.parquet(path).withColumnRenamed("id", "k")
+    out = unique_lookup(facts, dim.distinct().withColumn("v", F.col("k") * 2), [("k", "k")], "v", "out")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert out.filter("out = 2 * k").count() == 1000
