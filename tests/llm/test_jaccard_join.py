@@ -161,3 +161,14 @@ def test_workers_take_few_rows_of_a_batch_at_once():
     assert [k for b in found for k in b["key"].to_pylist()] == list(range(3000))
     texts = list(jj.tokenised([batch.select(["text"])], 3))
     assert max(b.num_rows for b in texts) <= 1024 and sum(b.num_rows for b in texts) == 3000
+
+
+@pytest.mark.parametrize("share", [(80, 100), (90, 100)])
+def test_unrelated_sets_meet_in_no_list(share):
+    """Not by segments that are empty in both, which every set of their size might share."""
+    draw, met = np.random.default_rng(5), defaultdict(set)
+    for n in range(400):
+        size = [50, 90, 150, 400, 1500][n % 5] + n // 20
+        for signature in jj.list_signatures(np.unique(draw.integers(0, 1 << 64, size, np.uint64)), share):
+            met[int(signature)].add(n)
+    assert sum(len(members) > 1 for members in met.values()) < 5

@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from martloom.llm import token_files
+from martloom.llm import jaccard_join, token_files
 from martloom.llm.packing import Corpus, Index, chained, pack_documents, windows
-from martloom.llm.token_ids import TextEncoder
+from martloom.llm.token_ids import TextEncoder, encoder
 from tests.llm.odd import ROWS, no_documents, odd_documents, prose, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -206,3 +207,11 @@ def test_strings_of_added_tokens_are_found_as_the_library_finds_them():
         ids = np.frombuffer(TextEncoder(BYTE_BPE)(text), "<u4").tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids
     assert 50256 in np.frombuffer(TextEncoder(BYTE_BPE)("a <|endoftext|> b"), "<u4")
+
+
+def test_a_worker_lets_go_of_its_encoder():
+    kept = encoder(BYTE_BPE)
+    assert encoder(BYTE_BPE) is kept
+    batch = pa.RecordBatch.from_pydict({"key": [1], "text_key": [1], "text": ["a b c"]})
+    list(jaccard_join.summarised(iter([batch]), (80, 100), 5))
+    assert encoder(BYTE_BPE) is not kept
