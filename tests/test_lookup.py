@@ -110,6 +110,19 @@ def test_interval_options_and_signs(spark):
     ]
 
 
+def test_interval_keys_are_made_by_several_tasks(spark):
+    """Also of one partition's rows, as a small file gives them."""
+    members = spark.createDataFrame([(n, "A", f"{n:04}") for n in range(64)], "mid int, area string, v string")
+    intervals = spark.createDataFrame(
+        [(n, "A", "I", "BT", f"{n:04}", f"{n + 1:04}") for n in range(64)],
+        "iid int, area string, valsign string, valoption string, valfrom string, valto string",
+    )
+    found = interval_lookup(members.coalesce(1), intervals.coalesce(1), ["area"], "v")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    sides = [line for line in plan.splitlines() if "RoundRobinPartitioning" in line]
+    assert len(sides) == 2 and found.count() == 127
+
+
 def test_unique_lookup(spark):
     facts = spark.createDataFrame([("a",), ("none",)], "k string")
     dim = spark.createDataFrame([("a", 1), ("twice", 2), ("twice", 2)], "k string, v int")
